@@ -1,0 +1,71 @@
+"""Compare every query with its SQL: python tests/check_oracles.py [sf] [query ...]."""
+
+from __future__ import annotations
+
+import sys
+import time
+from pathlib import Path
+
+import duckdb
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, str(Path(__file__).parents[1]))
+
+from __spark_entry__ import oracle_sql, queries  # noqa: E402
+
+
+def canonical(rows, names):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return sorted(repr(tuple(row[i] for i in order)) for row in rows)
+
+
+def compare(spark, con, name, query, sql, sf_dir):
+    df = query(spark, sf_dir)
+    got = canonical(df.collect(), df.columns)
+    relation = con.sql(sql)
+    want = canonical(relation.fetchall(), relation.columns)
+    return got, want, sorted(df.columns) == sorted(relation.columns)
+
+
+def connect(sf_dir):
+    con = duckdb.connect()
+    for file in Path(sf_dir).glob("*.parquet"):
+        con.sql(f"create view {file.stem} as select * from '{file}'")
+    return con
+
+
+def main():
+    sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
+    sf_dir = f"/root/testdata/sf{sf}"
+    spark = (
+        SparkSession.builder.master("local[8]")
+        .config("spark.ui.enabled", "false")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.driver.memory", "8g")
+        .getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    con = connect(sf_dir)
+    bad = 0
+    for name, query in queries().items():
+        if sys.argv[2:] and name not in sys.argv[2:]:
+            continue
+        start = time.time()
+        try:
+            got, want, columns = compare(spark, con, name, query, oracle_sql()[name], sf_dir)
+        except Exception as error:  # report and go on with the next query
+            print(f"ERROR {name}: {str(error)[:1500]}", flush=True)
+            bad += 1
+            continue
+        ok = got == want and columns
+        bad += not ok
+        print(f"{'ok   ' if ok else 'DIFF '} {name} {len(got)} {time.time() - start:.2f}s", flush=True)
+        if not ok:
+            extra = sorted(set(got) - set(want))[:3]
+            missing = sorted(set(want) - set(got))[:3]
+            print("  columns", columns, len(got), len(want), "\n  extra", extra, "\n  missing", missing)
+    sys.exit(bool(bad))
+
+
+if __name__ == "__main__":
+    main()
