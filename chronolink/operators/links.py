@@ -12,6 +12,7 @@ from ..functions.anchors import (
     without_anchors,
     without_tags,
 )
+from ..functions.once import with_columns_once
 from ..functions.text import literal_count, unescape_html
 
 
@@ -32,7 +33,7 @@ def with_strict_links(df: DataFrame, *, kind: str, text: str = "text") -> DataFr
     """Add ``targets``: the titles of all strict links of the text, in order, entities replaced."""
     links = F.filter(anchors(text, kind), lambda a: is_strict_link(a.title, a["class"]))
     titles = F.transform(links, lambda a: unescape_html(a.title))
-    return df.withColumn("targets", F.filter(titles, lambda t: t != ""))
+    return with_columns_once(df, {"targets": F.filter(titles, lambda t: t != "")})
 
 
 def with_link_counts(
@@ -54,7 +55,7 @@ def with_link_counts(
     # and lasts until the next start. This counts in n log n without leaving the row.
     counted = (
         with_strict_links(df, kind=kind, text=text)
-        .withColumn("_sorted", F.array_sort("targets"))
+        .withColumn("_sorted", F.sort_array("targets"))
         .withColumn("_n", F.size("_sorted"))
         .withColumn(
             "_starts",
@@ -88,22 +89,18 @@ def with_link_counts(
             literal_count(F.col("_rest_bytes"), F.col("_rest"), r.target).alias("mentions"),
         ),
     )
-    return (
-        counted.withColumn("_mentions", with_mentions)
-        .withColumn(
-            "links",
-            F.transform(
-                "_mentions",
-                lambda r: F.struct(
-                    r.target.alias("target"),
-                    r.anchors.alias("anchors"),
-                    r.mentions.alias("mentions"),
-                    (r.anchors + r.mentions).alias("cnt"),
-                ),
-            ),
-        )
-        .drop("targets", "_sorted", "_n", "_starts", "_runs", "_rest", "_rest_bytes", "_mentions")
+    totals = F.transform(
+        "_mentions",
+        lambda r: F.struct(
+            r.target.alias("target"),
+            r.anchors.alias("anchors"),
+            r.mentions.alias("mentions"),
+            (r.anchors + r.mentions).alias("cnt"),
+        ),
     )
+    counted = counted.withColumn("_mentions", with_mentions)
+    kept = [c for c in df.columns if c != "links"]
+    return with_columns_once(counted, {"links": totals}).select(*kept, "links")
 
 
 def page_links(pages: DataFrame, *, kind: str = "wikitext", count_in: str = "markup") -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.once import with_columns_once
+
 # Title prefixes of page kinds, and how a redirect is written.
 CATEGORY, FILE, TEMPLATE = "Category:", "File:", "Template:"
 REDIRECT = r"(?i)^\s*#redirect\s*:?\s*\[\[([^\]|#]+)"
@@ -43,7 +45,7 @@ def parse_pages_with_key(blocks: DataFrame, *, block: str = "block") -> DataFram
     """
     keys = [c for c in blocks.columns if c != block]
     page = F.from_xml(F.col(block), PAGE_SCHEMA, xml_options("page"))
-    fields = blocks.select(*keys, page.alias("_page")).select(
+    fields = with_columns_once(blocks, {"_page": page}).select(
         *keys,
         F.col("_page.title").alias("_title"),
         F.col("_page.revision.text").alias("_text"),

@@ -49,7 +49,7 @@ def article_history(
     part = F.floor((F.col("seq") - 1) / part_size).alias("part")
     return numbered.groupBy("article", part).agg(
         F.transform(
-            F.array_sort(F.collect_list(F.struct("seq", "ts", "rev_id", "links"))),
+            F.sort_array(F.collect_list(F.struct("seq", "ts", "rev_id", "links"))),
             lambda r: F.struct(r.ts.alias("ts"), r.rev_id.alias("rev_id"), r.links.alias("links")),
         ).alias("revisions")
     )
@@ -137,7 +137,7 @@ def link_delta(
     change = F.col("change")
 
     def gather(condition):
-        return F.array_sort(F.collect_list(F.when(condition, pair)))
+        return F.sort_array(F.collect_list(F.when(condition, pair)))
 
     sets = (
         link_changes(revisions, links, hot_rows=hot_rows)

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from .staging import stage
 
-# A key with more rows than this is numbered by sorted ranges instead of by one window task.
-HOT_ROWS = 1_000_000
+# A key with more rows than this is numbered by sorted ranges instead of by one window task. A row
+# may carry an array of hundreds of links, so the bound is on the low side.
+HOT_ROWS = 100_000
 
 
 def number_rows(

@@ -45,7 +45,7 @@ def history_pages(
     """``<page>`` elements of ``(article, page_id, redirect, rev_id, ts, text)`` as column ``value``."""
     numbered = number_rows(revisions, ["article"], ["ts", "rev_id"], hot_rows=hot_rows)
     part = F.floor((F.col("seq") - 1) / page_revisions).alias("part")
-    body = F.array_sort(F.collect_list(F.struct("seq", revision_xml().alias("xml"))))
+    body = F.sort_array(F.collect_list(F.struct("seq", revision_xml().alias("xml"))))
     pages = numbered.groupBy("article", part).agg(
         F.first("page_id").alias("page_id"),
         F.first("redirect").alias("redirect"),

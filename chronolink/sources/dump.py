@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.once import with_columns_once
 from ..functions.text import unescape_xml, utc_time
 from ..operators.pages import xml_options
 from ..plans.staging import stage
@@ -146,27 +147,24 @@ def scan_revisions(
         chunks.withColumn("_opens", opens)
         .withColumn("_page", page)
         .withColumn("_bytes", F.octet_length("chunk").cast("long"))
-        .withColumn(
-            "_rev",
-            F.from_xml(
-                F.when(F.col("_opens") & ~skip, _block(REVISION, REVISION_END)),
-                REVISION_SCHEMA,
-                xml_options("revision"),
-            ),
-        )
-        .select(
-            "file",
-            "file_size",
-            "split",
-            "pos",
-            "_opens",
-            "_page",
-            "_bytes",
-            F.col("_rev.id").try_cast("long").alias("rev_id"),
-            utc_time(F.col("_rev.timestamp")).alias("ts"),
-            F.col("_rev.text").alias("text"),
-            F.col("_rev._corrupt_record").alias("corrupt"),
-        )
+    )
+    revision = F.from_xml(
+        F.when(F.col("_opens") & ~skip, _block(REVISION, REVISION_END)),
+        REVISION_SCHEMA,
+        xml_options("revision"),
+    )
+    parsed = with_columns_once(parsed, {"_rev": revision}).select(
+        "file",
+        "file_size",
+        "split",
+        "pos",
+        "_opens",
+        "_page",
+        "_bytes",
+        F.col("_rev.id").try_cast("long").alias("rev_id"),
+        utc_time(F.col("_rev.timestamp")).alias("ts"),
+        F.col("_rev.text").alias("text"),
+        F.col("_rev._corrupt_record").alias("corrupt"),
     )
     staged = stage(project(parsed) if project else parsed, "revisions")
     placed = _with_context(staged, REVISION_END)

@@ -1,0 +1,86 @@
+"""Random histories and plain-Python models of the operators."""
+
+import random
+from datetime import datetime, timedelta
+
+START = datetime(2020, 1, 1)
+
+
+def at(minute):
+    return START + timedelta(minutes=minute)
+
+
+def random_histories(seed, articles=60, longest=14):
+    """{article: [(rev_id, ts, {target: cnt})]} with ties, empty revisions and changing counts."""
+    rng = random.Random(seed)
+    histories = {}
+    rev_id = 0
+    for a in range(articles):
+        revisions = []
+        live = {}
+        for _ in range(longest * 6 if a == 0 else rng.randint(1, longest)):
+            if rng.random() < 0.15:
+                links = {}
+            else:
+                links = dict(live) if rng.random() < 0.5 else {}
+                for target in rng.sample("PQRS", rng.randint(0, 4)):
+                    links[target] = rng.randint(1, 2)
+            live = links
+            rev_id += 1
+            revisions.append((rev_id, at(rng.randrange(40)), dict(links)))
+        histories[f"A{a}"] = revisions
+    return histories
+
+
+def frames(spark, histories):
+    revisions = [(a, r, t) for a, revs in histories.items() for r, t, _ in revs]
+    links = [
+        (a, r, target, cnt)
+        for a, revs in histories.items()
+        for r, _, found in revs
+        for target, cnt in found.items()
+    ]
+    return (
+        spark.createDataFrame(revisions, "article string, rev_id long, ts timestamp_ntz"),
+        spark.createDataFrame(links, "article string, rev_id long, target string, cnt long"),
+    )
+
+
+def ordered(revisions):
+    return sorted(revisions, key=lambda r: (r[1], r[0]))
+
+
+def walk_edges(histories, include_open=False):
+    """Walk each history once, holding the links that are alive."""
+    edges = []
+    for article, revisions in histories.items():
+        alive = {}
+        for _, ts, found in ordered(revisions):
+            now = set(found.items())
+            for link in [link for link in alive if link not in now]:
+                edges.append((article, *link, alive.pop(link), ts))
+            for link in now:
+                alive.setdefault(link, ts)
+        if include_open:
+            edges.extend((article, *link, since, None) for link, since in alive.items())
+    return sorted(edges, key=repr)
+
+
+def walk_changes(histories):
+    rows = []
+    for article, revisions in histories.items():
+        before = set()
+        for rev_id, ts, found in ordered(revisions):
+            now = set(found.items())
+            for kind, links in (
+                ("kept", now & before),
+                ("removed", before - now),
+                ("added", now - before),
+            ):
+                rows.extend((article, rev_id, ts, *link, kind) for link in links)
+            before = now
+    return sorted(rows, key=repr)
+
+
+def result(df):
+    return sorted((tuple(row) for row in df.collect()), key=repr)
