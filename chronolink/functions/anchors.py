@@ -33,7 +33,8 @@ def anchors(text: Column | str, kind: str) -> Column:
     text = F.col(text) if isinstance(text, str) else text
     if kind == "wikitext":
         shown = F.regexp_replace(text, WIKI_UNRENDERED, "")
-        titles = F.transform(F.regexp_extract_all(shown, F.lit(WIKI_LINK), F.lit(1)), F.trim)
+        titles = F.regexp_extract_all(shown, F.lit(WIKI_LINK), F.lit(1))
+        titles = F.transform(titles, lambda t: F.trim(t))
         unlinked = [lambda t, p=p: t.startswith(p) for p in WIKI_NOT_LINKS]
         titles = F.filter(titles, lambda t: ~_any(f(t) for f in unlinked))
         # A leading colon links to a category or file page instead of using it.
@@ -86,8 +87,8 @@ def _link(title, css_class):
 
 
 def _attribute(tag, name):
-    value = F.regexp_substr(tag, F.lit(rf'(?i)(?<=\s{name}=")[^"]*(?=")'))
-    return value
+    pattern = rf'(?i)\s{name}="([^"]*)"'
+    return F.when(tag.rlike(pattern), F.regexp_extract(tag, pattern, 1))
 
 
 def _inside(css_class):
