@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -28,9 +29,10 @@ def unescape_xml(text: Column | str) -> Column:
 
 def _unescape(text, entities):
     text = F.col(text) if isinstance(text, str) else text
-    table = F.map_from_arrays(
-        F.array(*[F.lit(f"&{name};") for name in entities]),
-        F.array(*[F.lit(char) for char in entities.values()]),
+    # As JSON the whole table is one literal in the plan, folded into a map once.
+    table = F.from_json(
+        F.lit(json.dumps({f"&{name};": char for name, char in entities.items()})),
+        "map<string,string>",
     )
     # One left-to-right pass over the pieces, so "&amp;lt;" becomes "&lt;" and no more.
     pieces = F.regexp_extract_all(text, F.lit(r"&#?\w+;|[^&]+|&"), F.lit(0))

@@ -119,6 +119,10 @@ ORACLES = {
         select article, '[' || strftime(valid_from, '%Y-%m-%dT%H:%M:%S') || ','
                || strftime(valid_to, '%Y-%m-%dT%H:%M:%S') || '] ' || target || ' ' || cnt as line
         from closed""",
+    "edge_text_sink": f"""with {_EVENTS} {_RUNS}
+        select article || chr(9) || '[' || strftime(valid_from, '%Y-%m-%dT%H:%M:%S') || ','
+               || strftime(valid_to, '%Y-%m-%dT%H:%M:%S') || '] ' || target || ' ' || cnt as value
+        from closed""",
     "revision_order": f"""with {_EVENTS}
         select article, ts, row_number() over w as seq, lead(ts) over w as next_ts
         from revisions window w as (partition by article order by ts, rev_id)""",
@@ -166,6 +170,14 @@ ORACLES = {
           and target not like '/%' and length(target) < 256 and target <> ''""",
     "link_anchor_counts": f"with {_PAGE_TARGETS} select page_id, target, anchors as cnt from counted",
     "link_mention_counts": f"with {_PAGE_TARGETS} select page_id, target, mentions from counted",
+    "link_mention_counts_text": f"""with {_PAGE_TARGETS}
+        select page_id, target,
+               cast((length(plain) - length(replace(plain, target, ''))) / length(target) as bigint)
+                 as mentions
+        from counted
+        join (select page_id, regexp_replace(regexp_replace(html, '{_ANCHOR}', '', 'g'), '<[^>]*>', '', 'g')
+                as plain from pages)
+        using (page_id)""",
     "link_total_counts": f"""with {_PAGE_TARGETS}
         select page_id, target, anchors + mentions as cnt from counted""",
     "page_links_grouped": f"""with {_PAGE_TARGETS}

@@ -160,6 +160,12 @@ def edge_sink_roundtrip(spark, sf_dir):
     return spark.read.parquet(path).drop("bucket")
 
 
+def edge_text_sink(spark, sf_dir):
+    path = new_path(spark, "edge-lines")
+    write_edges(temporal_edges(spark, sf_dir), path, format="text", buckets=16)
+    return spark.read.text(path).select("value")
+
+
 # Pages: the HTML is the text, its <title> the title.
 
 
@@ -198,6 +204,11 @@ def link_mention_counts(spark, sf_dir):
     return _counted_pages(spark, sf_dir).select("page_id", "target", "mentions")
 
 
+def link_mention_counts_text(spark, sf_dir):
+    counted = L.with_link_counts(html_pages(spark, sf_dir), kind="text", count_in="text")
+    return counted.select("page_id", F.inline("links")).select("page_id", "target", "mentions")
+
+
 def link_total_counts(spark, sf_dir):
     return _counted_pages(spark, sf_dir).select("page_id", "target", "cnt")
 
@@ -340,7 +351,8 @@ def _history_dump(spark, sf_dir):
 
 
 def dump_revisions(spark, sf_dir):
-    revisions = dump.scan_revisions(spark, _history_dump(spark, sf_dir))
+    path = _history_dump(spark, sf_dir)
+    revisions = dump.scan_revisions(spark, path, name_regex=r"^part-.*\.bz2$")
     return revisions.select("article", "rev_id", "ts", F.md5("text").alias("text_md5"))
 
 
@@ -372,10 +384,12 @@ QUERIES = {
         distinct_links,
         min_ts_filter,
         edge_sink_roundtrip,
+        edge_text_sink,
         links_flat,
         links_strict,
         link_anchor_counts,
         link_mention_counts,
+        link_mention_counts_text,
         link_total_counts,
         page_links_grouped,
         title_entities,
