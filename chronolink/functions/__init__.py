@@ -1 +1 @@
-"""Column expressions: no shuffle, no Python UDF."""
+"""Column expressions. None of them shuffles."""

@@ -10,6 +10,7 @@ HTML_ANCHOR = r"<a [^>]*>([^<]*)</a>"
 HTML_ANCHOR_TAG = r"<a ([^>]*)>"
 WIKI_LINK = r"\[\[([^\[\]|#]+)"
 WIKI_ANCHOR = r"\[\[[^\[\]]*\]\]"
+WIKI_HIDING = ("<!--", "<nowiki>")
 WIKI_UNRENDERED = r"(?s)<!--.*?-->|<nowiki>.*?</nowiki>"
 # Wiki links that put a page in a category or show a file; they lead to no page.
 WIKI_NOT_LINKS = ("Category:", "File:", "Image:")
@@ -32,7 +33,9 @@ def anchors(text: Column | str, kind: str) -> Column:
     """
     text = F.col(text) if isinstance(text, str) else text
     if kind == "wikitext":
-        shown = F.regexp_replace(text, WIKI_UNRENDERED, "")
+        # Few texts have comments, and a look for them is much cheaper than the pattern.
+        hides = _any(F.contains(text, F.lit(mark)) for mark in WIKI_HIDING)
+        shown = F.when(hides, F.regexp_replace(text, WIKI_UNRENDERED, "")).otherwise(text)
         titles = F.regexp_extract_all(shown, F.lit(WIKI_LINK), F.lit(1))
         titles = F.transform(titles, lambda t: F.trim(t))
         unlinked = [lambda t, p=p: t.startswith(p) for p in WIKI_NOT_LINKS]

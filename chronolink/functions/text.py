@@ -1,10 +1,11 @@
-"""String expressions for titles, entities and output lines."""
+"""Expressions for titles, entities, literal counts and output lines."""
 
 from __future__ import annotations
 
 import json
 from html.entities import name2codepoint
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -64,14 +65,23 @@ def escape_xml(text: Column | str) -> Column:
     return escaped
 
 
-def literal_count(text_bytes: Column, text: Column, literal: Column) -> Column:
-    """How often ``literal`` occurs in ``text``: case-sensitive, non-overlapping, no word boundary.
+def literal_counts(texts: Column | str, literals: Column | str) -> Column:
+    """How often each of an array of literals occurs in the text, as ``ARRAY<BIGINT>``.
 
-    ``The`` is therefore also found in ``Then``. ``text_bytes`` is ``octet_length(text)``, passed in
-    so that it is worked out once when many literals are counted in one text.
+    Case-sensitive, non-overlapping, no word boundary: ``The`` is also found in ``Then``.
+
+    The one place with Python. Many literals are looked for in a long text, and ``str.count`` does
+    that several times faster than ``replace``, the built-in way. Batches are bounded in bytes by
+    ``spark.sql.execution.arrow.maxBytesPerBatch``.
     """
-    left = F.octet_length(F.replace(text, literal, F.lit("")))
-    return ((text_bytes - left) / F.octet_length(literal)).cast("long")
+
+    # Local, so that it is sent to the executors by value and they need no copy of this package.
+    def count(texts: pa.Array, literals: pa.Array) -> pa.Array:
+        rows = zip(texts.to_pylist(), literals.to_pylist(), strict=True)
+        counts = [[(text or "").count(x) for x in found or ()] for text, found in rows]
+        return pa.array(counts, pa.list_(pa.int64()))
+
+    return F.arrow_udf(count, "array<bigint>")(texts, literals)
 
 
 def file_key(title: Column | str) -> Column:

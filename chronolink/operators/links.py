@@ -1,4 +1,4 @@
-"""Links of pages and revisions. Everything here is narrow: no shuffle, text stays in its row."""
+"""Links of pages and revisions. Everything here is narrow: nothing is shuffled."""
 
 from __future__ import annotations
 
@@ -13,7 +13,7 @@ from ..functions.anchors import (
     without_tags,
 )
 from ..functions.once import with_columns_once
-from ..functions.text import literal_count, unescape_html
+from ..functions.text import literal_counts, unescape_html
 
 
 def flat_links(pages: DataFrame, *, kind: str = "wikitext") -> DataFrame:
@@ -36,23 +36,18 @@ def with_strict_links(df: DataFrame, *, kind: str, text: str = "text") -> DataFr
     return with_columns_once(df, {"targets": F.filter(titles, lambda t: t != "")})
 
 
-def with_link_counts(
-    df: DataFrame, *, kind: str = "wikitext", text: str = "text", count_in: str = "markup"
-) -> DataFrame:
-    """Add ``links``: ``ARRAY<STRUCT<target, anchors, mentions, cnt>>``, one entry per target.
+def with_anchor_counts(df: DataFrame, *, kind: str = "wikitext", text: str = "text") -> DataFrame:
+    """Add ``links``: ``ARRAY<STRUCT<target, anchors>>``, one entry per target of a strict link.
 
-    ``anchors`` counts the links to the target, ``mentions`` its literal occurrences in the text
-    with all links cut out, ``cnt`` both. ``count_in="markup"`` searches the text as it is,
-    ``"text"`` without HTML tags. A row whose text is null or has no links gets an empty array.
+    A row whose text is null or has no links gets an empty array.
     """
-    if count_in not in ("markup", "text"):
-        raise ValueError(f"count_in must be 'markup' or 'text', not {count_in!r}")
-    rest = without_anchors(text, kind)
-    if count_in == "text":
-        rest = without_tags(rest)
-
     # Sorted, equal targets are neighbours: a run starts where a target differs from the one before
     # and lasts until the next start. This counts in n log n without leaving the row.
+    positions = F.when(F.col("_n") > 0, F.sequence(F.lit(0), F.col("_n") - 1))
+    run = lambda at, k: F.struct(
+        F.get("_sorted", at).alias("target"),
+        (F.coalesce(F.get("_starts", k + 1), F.col("_n")) - at).cast("long").alias("anchors"),
+    )
     counted = (
         with_strict_links(df, kind=kind, text=text)
         .withColumn("_sorted", F.sort_array("targets"))
@@ -60,47 +55,43 @@ def with_link_counts(
         .withColumn(
             "_starts",
             F.filter(
-                F.when(F.col("_n") > 0, F.sequence(F.lit(0), F.col("_n") - 1)).otherwise(
-                    F.array().cast("array<int>")
-                ),
+                F.coalesce(positions, F.array().cast("array<int>")),
                 lambda i: (i == 0) | (F.get("_sorted", i) != F.get("_sorted", i - 1)),
             ),
         )
-        .withColumn(
-            "_runs",
-            F.transform(
-                "_starts",
-                lambda at, k: F.struct(
-                    F.get("_sorted", at).alias("target"),
-                    (F.coalesce(F.get("_starts", k + 1), F.col("_n")) - at)
-                    .cast("long")
-                    .alias("anchors"),
-                ),
-            ),
-        )
-        .withColumn("_rest", F.when(F.col("_n") > 0, rest))
-        .withColumn("_rest_bytes", F.octet_length("_rest"))
-    )
-    with_mentions = F.transform(
-        "_runs",
-        lambda r: F.struct(
-            r.target.alias("target"),
-            r.anchors.alias("anchors"),
-            literal_count(F.col("_rest_bytes"), F.col("_rest"), r.target).alias("mentions"),
-        ),
     )
-    totals = F.transform(
-        "_mentions",
-        lambda r: F.struct(
-            r.target.alias("target"),
-            r.anchors.alias("anchors"),
-            r.mentions.alias("mentions"),
-            (r.anchors + r.mentions).alias("cnt"),
+    kept = [c for c in df.columns if c != "links"]
+    return with_columns_once(counted, {"links": F.transform("_starts", run)}).select(*kept, "links")
+
+
+def with_link_counts(
+    df: DataFrame, *, kind: str = "wikitext", text: str = "text", count_in: str = "markup"
+) -> DataFrame:
+    """Add ``links``: ``ARRAY<STRUCT<target, anchors, mentions, cnt>>``, one entry per target.
+
+    ``anchors`` counts the links to the target, ``mentions`` its literal occurrences in the text
+    with all links cut out, ``cnt`` both. ``count_in="markup"`` searches the text as it is,
+    ``"text"`` without HTML tags. A row whose text is null or has no links gets an empty array.
+    """
+    if count_in not in ("markup", "text"):
+        raise ValueError(f"count_in must be 'markup' or 'text', not {count_in!r}")
+    rest = without_anchors(text, kind)
+    if count_in == "text":
+        rest = without_tags(rest)
+
+    mentions = literal_counts(F.when(F.size("links") > 0, rest), F.col("links.target"))
+    total = F.transform(
+        "links",
+        lambda link, i: F.struct(
+            link.target.alias("target"),
+            link.anchors.alias("anchors"),
+            F.get("_mentions", i).alias("mentions"),
+            (link.anchors + F.get("_mentions", i)).alias("cnt"),
         ),
     )
-    counted = counted.withColumn("_mentions", with_mentions)
+    counted = with_anchor_counts(df, kind=kind, text=text).withColumn("_mentions", mentions)
     kept = [c for c in df.columns if c != "links"]
-    return with_columns_once(counted, {"links": totals}).select(*kept, "links")
+    return with_columns_once(counted, {"links": total}).select(*kept, "links")
 
 
 def page_links(pages: DataFrame, *, kind: str = "wikitext", count_in: str = "markup") -> DataFrame:

@@ -197,7 +197,10 @@ def _counted_pages(spark, sf_dir):
 
 
 def link_anchor_counts(spark, sf_dir):
-    return _counted_pages(spark, sf_dir).select("page_id", "target", F.col("anchors").alias("cnt"))
+    counted = L.with_anchor_counts(html_pages(spark, sf_dir), kind="text")
+    return counted.select("page_id", F.inline("links")).select(
+        "page_id", "target", F.col("anchors").alias("cnt")
+    )
 
 
 def link_mention_counts(spark, sf_dir):

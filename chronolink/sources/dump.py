@@ -132,20 +132,19 @@ def scan_revisions(
     task, before rows are staged and shuffled, and must keep all other columns.
     """
     chunks = read_chunks(spark, path, REVISION_END, name_regex=name_regex)
-    opens = F.contains("chunk", F.lit(REVISION))
-    head = F.substring_index("chunk", REVISION, 1)
-    page_head = F.when(F.contains(head, F.lit(PAGE)), F.substring_index(head, PAGE, -1))
+    own = F.substring_index("_head", PAGE, -1)
     page = F.when(
-        page_head.isNotNull(),
+        F.contains("_head", F.lit(PAGE)),
         F.struct(
-            F.regexp_extract(page_head, TITLE, 1).alias("title"),
-            F.contains(page_head, F.lit(REDIRECT)).alias("redirect"),
+            F.regexp_extract(own, TITLE, 1).alias("title"),
+            F.contains(own, F.lit(REDIRECT)).alias("redirect"),
         ),
     )
     skip = F.coalesce(F.col("_page.redirect"), F.lit(False)) & F.lit(not keep_redirects)
     parsed = (
-        chunks.withColumn("_opens", opens)
+        chunks.withColumn("_head", F.substring_index("chunk", REVISION, 1))
         .withColumn("_page", page)
+        .withColumn("_opens", F.contains("chunk", F.lit(REVISION)))
         .withColumn("_bytes", F.octet_length("chunk").cast("long"))
     )
     revision = F.from_xml(

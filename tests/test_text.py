@@ -56,9 +56,14 @@ def test_xml_entities(spark):
         ("", "x", 0),
     ],
 )
-def test_literal_count(spark, text, literal, want):
-    count = T.literal_count(F.octet_length("t"), F.col("t"), F.col("x"))
-    assert one(spark, count, t=text, x=literal) == want == text.count(literal)
+def test_literal_counts(spark, text, literal, want):
+    counts = T.literal_counts(F.col("t"), F.array("x", F.lit("no such")))
+    assert one(spark, counts, t=text, x=literal) == [want, 0]
+
+
+def test_literal_counts_of_nothing(spark):
+    df = spark.createDataFrame([(None, ["a"]), ("a", []), ("a", None)], "t string, x array<string>")
+    assert [r[0] for r in df.select(T.literal_counts("t", "x")).collect()] == [[0], [], []]
 
 
 def test_file_key(spark):
