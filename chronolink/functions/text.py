@@ -77,8 +77,12 @@ def literal_counts(texts: Column | str, literals: Column | str) -> Column:
 
     # Local, so that it is sent to the executors by value and they need no copy of this package.
     def count(texts: pa.Array, literals: pa.Array) -> pa.Array:
-        rows = zip(texts.to_pylist(), literals.to_pylist(), strict=True)
-        counts = [[(text or "").count(x) for x in found or ()] for text, found in rows]
+        sizes = literals.value_lengths().fill_null(0).to_pylist()
+        each = iter(literals.flatten().to_pylist())
+        counts = [
+            [(text or "").count(next(each)) for _ in range(size)]
+            for text, size in zip(texts.to_pylist(), sizes, strict=True)
+        ]
         return pa.array(counts, pa.list_(pa.int64()))
 
     return F.arrow_udf(count, "array<bigint>")(texts, literals)
