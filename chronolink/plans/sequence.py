@@ -73,36 +73,47 @@ def _number_by_range(df, keys, order, lead):
     The ranges are cut by sampling, so they are written down before two branches rely on them.
     No task holds more than one range, however large a key is.
     """
+    # The documented layout of the id: partition above, position in the partition in the low 33 bits.
     ranges = stage(
-        df.repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id()),
+        df.repartitionByRange(*keys, *order)
+        .sortWithinPartitions(*keys, *order)
+        .withColumn("_id", F.monotonically_increasing_id()),
         "ranges",
+    ).withColumns(
+        {"_range": F.shiftright("_id", 33), "_at": F.col("_id").bitwiseAND((1 << 33) - 1)}
     )
     group = ["_range", *keys]
-    inside = Window.partitionBy(*group).orderBy(*order)
-    local = ranges.withColumns(
-        {"_pos": F.row_number().over(inside).cast("long")}
-        | {f"_lead_{name}": F.lead(source).over(inside) for name, source in lead.items()}
-    )
 
     first_values = F.struct(F.lit(1).alias("_"), *[F.col(c).alias(n) for n, c in lead.items()])
     parts = ranges.groupBy(*group).agg(
         F.count(F.lit(1)).alias("_size"),
-        F.min_by(first_values, F.struct(*order)).alias("_first"),
+        F.min("_at").alias("_from"),
+        *([F.min_by(first_values, "_at").alias("_first")] if lead else []),
     )
-    # One row per range and key, so this window is bounded by the number of ranges.
+    # One row per range and key, so this window is bounded by the number of ranges. Staged, Spark
+    # knows how small the table is and need not shuffle the rows to join it.
     along = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_range")
     before = along.rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select(
-        *group,
-        "_size",
-        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"),
-        F.lead("_first").over(along).alias("_next"),
+    parts = stage(
+        parts.select(
+            *group,
+            (F.col("_from") + F.col("_size") - 1).alias("_to"),
+            (F.coalesce(F.sum("_size").over(before), F.lit(0)) - F.col("_from") + 1).alias("_shift"),
+            *([F.lead("_first").over(along).alias("_next")] if lead else []),
+        ),
+        "range-sizes",
     )
 
-    at_end = F.col("_pos") == F.col("_size")
-    return local.join(parts, group).select(
+    numbered = ranges
+    if lead:
+        inside = Window.partitionBy(*group).orderBy("_at")
+        numbered = numbered.withColumns(
+            {f"_lead_{name}": F.lead(source).over(inside) for name, source in lead.items()}
+        )
+    at_end = F.col("_at") == F.col("_to")
+    return numbered.join(parts, group).select(
         *df.columns,
-        (F.col("_before") + F.col("_pos")).alias("seq"),
+        (F.col("_at") + F.col("_shift")).alias("seq"),
         *[
             F.when(at_end, F.col(f"_next.{name}")).otherwise(F.col(f"_lead_{name}")).alias(name)
             for name in lead

@@ -159,3 +159,24 @@ def test_staged_rows_survive_other_split_sizes(spark, tmp_path):
         assert found(scan) == want
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_bz2_of_many_streams(spark, tmp_path, small_splits):
+    content, want = make_dump(7)
+    raw = content.encode()
+    streams = [bz2.compress(raw[i : i + 30_000], 1) for i in range(0, len(raw), 30_000)]
+    (tmp_path / "h.xml.bz2").write_bytes(b"".join(streams))
+    assert len(streams) > 3
+    assert found(dump.scan_revisions(spark, str(tmp_path))) == want
+
+
+def test_title_of_a_page_many_splits_long(spark, tmp_path, small_splits):
+    revisions = "".join(
+        f"<revision><id>{i}</id><timestamp>2020-01-01T00:00:00Z</timestamp><text>{'x' * 500}</text></revision>\n"
+        for i in range(1000)
+    )
+    put(tmp_path, "h.xml", f"<page><title>Long</title>{revisions}</page><page><title>Next</title></page>\n")
+    scan = dump.scan_revisions(spark, str(tmp_path))
+    assert scan.groupBy("article").count().collect() == [("Long", 1000)]
+    splits = dump.read_chunks(spark, str(tmp_path), dump.REVISION_END).select("split").distinct()
+    assert splits.count() > 10
