@@ -1,8 +1,8 @@
 """Scans of XML dumps, plain or compressed, split across tasks.
 
-The text reader cuts a file at the end tag of the wanted block, so a split starts and ends on a
-block boundary and each block is read once, whatever the split size. Codecs go by file extension,
-bz2 files are split too.
+The text reader cuts a file at a tag of the wanted block instead of at line ends, so a split starts
+and ends on a block boundary and each block is read once, whatever the split size. Codecs go by file
+extension, bz2 files are split too.
 """
 
 from __future__ import annotations
@@ -33,14 +33,14 @@ Paths = str | Sequence[str]
 
 
 def read_chunks(
-    spark: SparkSession, path: Paths, end_tag: str, *, name_regex: str | None = None
+    spark: SparkSession, path: Paths, tag: str, *, name_regex: str | None = None
 ) -> DataFrame:
-    """Text between end tags: ``(file, file_size, split, pos, chunk)``.
+    """Text between two occurrences of ``tag``: ``(file, file_size, split, pos, chunk)``.
 
     ``path`` may hold globs. ``name_regex`` selects files by name. ``pos`` orders the chunks of one
     split and ``split`` the splits of one file.
     """
-    lines = spark.read.option("lineSep", end_tag).text(path if isinstance(path, str) else list(path))
+    lines = spark.read.option("lineSep", tag).text(path if isinstance(path, str) else list(path))
     if name_regex is not None:
         lines = lines.filter(F.col("_metadata.file_name").rlike(name_regex))
     return lines.select(
@@ -62,7 +62,8 @@ def scan_blocks(
 ) -> DataFrame:
     """Every block from start to end tag, tags included: ``(file, split, pos, block)``.
 
-    One narrow pass; ``(file, split, pos)`` orders the blocks.
+    One narrow pass; ``(file, split, pos)`` orders the blocks. A last block that the end of the file
+    cuts off gets its end tag here; ``scan_blocks_with_offset`` leaves it out.
     """
     chunks = read_chunks(spark, path, end_tag, name_regex=name_regex)
     return chunks.filter(F.contains("chunk", F.lit(start_tag))).select(
@@ -102,8 +103,16 @@ def scan_blocks_with_offset(
 def scan_pages(
     spark: SparkSession, path: Paths, *, name_regex: str | None = None
 ) -> DataFrame:
-    """Page blocks of a dump with one revision per page: ``(file, split, pos, block)``."""
-    return scan_blocks(spark, path, PAGE, PAGE_END, name_regex=name_regex)
+    """Page blocks of a dump with one revision per page: ``(file, split, pos, block)``.
+
+    Pages do not nest, so the text is cut at the start tag: whether a page is whole can then be told
+    from its own row, and one that the end of the file cuts off is left out, compressed or not.
+    """
+    chunks = read_chunks(spark, path, PAGE, name_regex=name_regex)
+    inner = F.substring_index("chunk", PAGE_END, 1)
+    return chunks.filter(F.contains("chunk", F.lit(PAGE_END))).select(
+        "file", "split", "pos", F.concat(F.lit(PAGE), inner, F.lit(PAGE_END)).alias("block")
+    )
 
 
 def scan_pages_with_offset(

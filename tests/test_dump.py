@@ -89,6 +89,14 @@ def test_cut_off_tail_is_left_out(spark, tmp_path, small_splits):
     assert found(dump.scan_revisions(spark, str(tmp_path))) == want
 
 
+@pytest.mark.parametrize("extension", PACK)
+def test_cut_off_page_is_left_out(spark, tmp_path, small_splits, extension):
+    content, _ = make_dump(3, pages=10, tail="<page><title>Cut</title><id>1</id>")
+    put(tmp_path, f"cut.{extension}", content)
+    blocks = [r.block for r in dump.scan_pages(spark, str(tmp_path)).collect()]
+    assert sorted(blocks) == sorted(re.findall("<page>.*?</page>", content, re.DOTALL))
+
+
 def test_file_may_end_with_the_end_tag(spark, tmp_path):
     content, want = make_dump(3, pages=10)
     end = content.rindex("</revision>") + len("</revision>")
@@ -148,6 +156,8 @@ def test_any_tag(spark, tmp_path):
         (1, "<li>1</li>"),
         (12, "<li>two <li>2</li>"),
     ]
+    plain = dump.scan_blocks(spark, str(tmp_path), "<li>", "</li>").orderBy("pos").collect()
+    assert [r.block for r in plain] == ["<li>1</li>", "<li>two <li>2</li>", "<li>cut</li>"]
 
 
 def test_staged_rows_survive_other_split_sizes(spark, tmp_path):
