@@ -91,7 +91,7 @@ def scan_blocks_with_offset(
         .withColumn("_opens", F.contains("chunk", F.lit(start_tag))),
         "chunks",
     )
-    placed = _with_context(chunks, end_tag)
+    placed = _with_byte_position(chunks, end_tag)
     ahead = F.octet_length(F.substring_index("chunk", start_tag, 1))
     return placed.filter(F.col("_opens") & ~_cut_off()).select(
         "file",
@@ -135,53 +135,52 @@ def scan_revisions(
     A row is one revision, so a page of any length is read by many tasks. The title stands only at
     the start of the page, maybe splits away: it is carried forward from the last page header.
     Pages with a redirect tag ahead of their first revision are skipped. ``ts`` is UTC wall-clock
-    time. A malformed revision keeps its XML in ``corrupt`` and has null fields.
+    time. A malformed revision keeps its XML in ``corrupt`` and has null fields; one that the end of
+    the file cuts off is left out.
 
     ``project`` may replace ``text`` by something narrower, such as links. It runs in the scan
     task, before rows are staged and shuffled, and must keep all other columns.
     """
-    chunks = read_chunks(spark, path, REVISION_END, name_regex=name_regex)
-    own = F.substring_index("_head", PAGE, -1)
+    chunks = read_chunks(spark, path, REVISION, name_regex=name_regex)
+    own = F.substring_index("_tail", PAGE, -1)
     page = F.when(
-        F.contains("_head", F.lit(PAGE)),
+        F.contains("_tail", F.lit(PAGE)),
         F.struct(
             F.regexp_extract(own, TITLE, 1).alias("title"),
             F.contains(own, F.lit(REDIRECT)).alias("redirect"),
         ),
     )
-    skip = F.coalesce(F.col("_page.redirect"), F.lit(False)) & F.lit(not keep_redirects)
-    parsed = (
-        chunks.withColumn("_head", F.substring_index("chunk", REVISION, 1))
-        .withColumn("_page", page)
-        .withColumn("_opens", F.contains("chunk", F.lit(REVISION)))
-        .withColumn("_bytes", F.octet_length("chunk").cast("long"))
-    )
+    whole = F.contains("chunk", F.lit(REVISION_END))
+    inner = F.substring_index("chunk", REVISION_END, 1)
     revision = F.from_xml(
-        F.when(F.col("_opens") & ~skip, _block(REVISION, REVISION_END)),
+        F.when(whole, F.concat(F.lit(REVISION), inner, F.lit(REVISION_END))),
         REVISION_SCHEMA,
         xml_options("revision"),
     )
-    parsed = with_columns_once(parsed, {"_rev": revision}).select(
+    # What follows the revision may hold the head of the next page.
+    chunks = chunks.withColumn("_tail", F.substring_index("chunk", REVISION_END, -1))
+    parsed = with_columns_once(chunks, {"_rev": revision}).select(
         "file",
-        "file_size",
         "split",
         "pos",
-        "_opens",
-        "_page",
-        "_bytes",
+        whole.alias("_whole"),
+        page.alias("_page_after"),
         F.col("_rev.id").try_cast("long").alias("rev_id"),
         utc_time(F.col("_rev.timestamp")).alias("ts"),
         F.col("_rev.text").alias("text"),
         F.col("_rev._corrupt_record").alias("corrupt"),
     )
     staged = stage(project(parsed) if project else parsed, "revisions")
-    placed = _with_context(staged, REVISION_END)
-    kept = F.col("_opens") & ~_cut_off()
+    kept = F.col("_whole") & F.col("_page").isNotNull()
     if not keep_redirects:
         kept &= ~F.col("_page.redirect")
-    helpers = {"file", "file_size", "split", "pos", "_opens", "_page", "_bytes"}
+    helpers = {"file", "split", "pos", "_whole", "_page_after"}
     payload = [c for c in staged.columns if c not in helpers]
-    return placed.filter(kept).select(unescape_xml("_page.title").alias("article"), *payload)
+    return (
+        _with_page(staged)
+        .filter(kept)
+        .select(unescape_xml("_page.title").alias("article"), *payload)
+    )
 
 
 def _block(start_tag, end_tag):
@@ -194,37 +193,39 @@ def _block(start_tag, end_tag):
 _SPLIT = ["file", "split"]
 
 
-def _with_context(chunks: DataFrame, end_tag: str) -> DataFrame:
-    """Add ``_position``, the byte position of the chunk in its unpacked file.
-
-    Where there is a ``_page`` column, fill it from the nearest page header before the chunk.
-    """
-    window = Window.partitionBy(*_SPLIT).orderBy("pos")
+def _windows():
+    inside = Window.partitionBy(*_SPLIT).orderBy("pos")
     along = Window.partitionBy("file").orderBy("split")
-    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    length = F.col("_bytes") + len(end_tag.encode())
-    pages = "_page" in chunks.columns
-    here = F.when(F.col("_page").isNotNull(), F.col("pos")) if pages else None
-
-    totals = [F.sum(length).alias("_total")]
-    before = [F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before")]
-    inside = F.sum(length).over(window.rowsBetween(Window.unboundedPreceding, -1))
-    local = {"_inside": F.coalesce(inside, F.lit(0))}
-    if pages:
-        totals.append(F.max_by("_page", here).alias("_last_page"))
-        before.append(F.last("_last_page", True).over(earlier).alias("_carried"))
-        upto = window.rowsBetween(Window.unboundedPreceding, 0)
-        local["_page"] = F.last("_page", True).over(upto)
-
-    splits = chunks.groupBy(*_SPLIT).agg(*totals).select(*_SPLIT, *before)
-    placed = (
-        chunks.withColumns(local)
+    return tuple(w.rowsBetween(Window.unboundedPreceding, -1) for w in (inside, along))
+
+
+def _with_byte_position(chunks: DataFrame, tag: str) -> DataFrame:
+    """Add ``_position``, the byte position of the chunk in its unpacked file."""
+    inside, along = _windows()
+    length = F.col("_bytes") + len(tag.encode())
+    splits = chunks.groupBy(*_SPLIT).agg(F.sum(length).alias("_total"))
+    splits = splits.select(*_SPLIT, F.sum("_total").over(along).alias("_before"))
+    position = F.coalesce("_before", F.lit(0)) + F.coalesce("_inside", F.lit(0))
+    return (
+        chunks.withColumn("_inside", F.sum(length).over(inside))
+        .join(splits, _SPLIT)
+        .withColumn("_position", position)
+        .drop("_before", "_inside")
+    )
+
+
+def _with_page(chunks: DataFrame) -> DataFrame:
+    """Add ``_page``, the nearest page head in the chunks before."""
+    inside, along = _windows()
+    at = F.when(F.col("_page_after").isNotNull(), F.col("pos"))
+    splits = chunks.groupBy(*_SPLIT).agg(F.max_by("_page_after", at).alias("_last"))
+    splits = splits.select(*_SPLIT, F.last("_last", True).over(along).alias("_carried"))
+    return (
+        chunks.withColumn("_near", F.last("_page_after", True).over(inside))
         .join(splits, _SPLIT)
-        .withColumn("_position", F.col("_before") + F.col("_inside"))
+        .withColumn("_page", F.coalesce("_near", "_carried"))
+        .drop("_near", "_carried")
     )
-    if pages:
-        placed = placed.withColumn("_page", F.coalesce("_page", "_carried")).drop("_carried")
-    return placed.drop("_before", "_inside")
 
 
 def _cut_off():

@@ -62,7 +62,7 @@ def test_each_revision_once_whatever_the_splits(spark, tmp_path, small_splits, e
     scan = dump.scan_revisions(spark, str(tmp_path))
     assert found(scan) == want
     assert scan.filter("corrupt is not null").count() == 0
-    chunks = dump.read_chunks(spark, str(tmp_path), dump.REVISION_END)
+    chunks = dump.read_chunks(spark, str(tmp_path), dump.REVISION)
     splits = chunks.select("split").distinct().count()
     assert splits == 1 if extension == "xml.gz" else splits >= 3
 
@@ -82,11 +82,13 @@ def test_globs_and_names(spark, tmp_path, small_splits):
     assert found(by_glob) == found(by_name) == found(by_list) == sorted(wants[0] + wants[1])
 
 
-def test_cut_off_tail_is_left_out(spark, tmp_path, small_splits):
+@pytest.mark.parametrize("extension", PACK)
+def test_cut_off_tail_is_left_out(spark, tmp_path, small_splits, extension):
     tail = "<page><title>Cut</title><revision><id>1</id><timestamp>2020-01-01T00:00:00Z</timestamp><text>a"
     content, want = make_dump(3, pages=10, tail=tail)
-    put(tmp_path, "cut.xml", content)
-    assert found(dump.scan_revisions(spark, str(tmp_path))) == want
+    put(tmp_path, f"cut.{extension}", content)
+    scan = dump.scan_revisions(spark, str(tmp_path))
+    assert found(scan) == want and scan.filter("corrupt is not null").count() == 0
 
 
 @pytest.mark.parametrize("extension", PACK)
@@ -188,5 +190,5 @@ def test_title_of_a_page_many_splits_long(spark, tmp_path, small_splits):
     put(tmp_path, "h.xml", f"<page><title>Long</title>{revisions}</page><page><title>Next</title></page>\n")
     scan = dump.scan_revisions(spark, str(tmp_path))
     assert scan.groupBy("article").count().collect() == [("Long", 1000)]
-    splits = dump.read_chunks(spark, str(tmp_path), dump.REVISION_END).select("split").distinct()
+    splits = dump.read_chunks(spark, str(tmp_path), dump.REVISION).select("split").distinct()
     assert splits.count() > 10
