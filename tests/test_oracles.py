@@ -2,6 +2,8 @@ import pytest
 from check_oracles import canonical, connect
 
 from __spark_entry__ import entry, oracle_sql, queries
+from chronolink.oracles import ORACLES
+from chronolink.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -12,10 +14,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_same_as_sql(spark, con, name):
     df = queries()[name](spark, SF_DIR)
     relation = con.sql(oracle_sql()[name])
