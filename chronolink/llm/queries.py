@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import shards, urls
+from . import bpe, packing, shards, urls
 
 QUERIES = {
+    "op2_bpe": bpe.op2_bpe,
     "op6_url_filters": urls.op6_url_filters,
     "op7_sharding": shards.op7_sharding,
+    "op9_token_output": packing.op9_token_output,
 }
 
 ORACLES = {"op6_url_filters": urls.ORACLE}
