@@ -25,7 +25,7 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import read
+from .tables import read, small
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Characters of a chunk, and those that neighbours share on either side of a border.
@@ -110,7 +110,7 @@ def encode_chunk(vocabulary: Vocabulary, body: str, left: int, size: int, last:
 def _encode_short(vocabulary: Vocabulary, keep: list[str]):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = _load(vocabulary)[0]
-        for batch in batches:
+        for batch in small(batches):
             ids = [_packed(encoding.encode_ordinary(t or "")) for t in batch["_text"].to_pylist()]
             columns = [batch[c] for c in keep] + [pa.array(ids, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, [*keep, "ids"])
@@ -231,7 +231,7 @@ def decode(encoded: DataFrame, *, vocabulary: Vocabulary = Vocabulary()) -> Data
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _bytes_by_id(vocabulary)
-        for batch in batches:
+        for batch in small(batches):
             texts = [
                 None if raw is None else b"".join([table[i] for i in np.frombuffer(raw, "<u4").tolist()])
                 for raw in batch["ids"].to_pylist()

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from chronolink.plans.staging import new_path, stage
 
-from .tables import read
+from .tables import read, small
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
@@ -214,16 +214,15 @@ def _write_files(folder: str, tokenizer: str | None, end_id: int, block: int, fi
                 [pa.array([v], t) for v, t in zip(row.values(), types, strict=True)], list(row)
             )
 
-        for batch in batches:
-            for lot in (batch.slice(k, 256) for k in range(0, len(batch), 256)):
-                texts = [t or "" for t in lot["_text"].to_pylist()]
-                for key, ids in zip(lot["_id"].to_pylist(), coder.encode(texts), strict=True):
-                    keys.append(NULL_ID if key is None else key)
-                    docs.append(np.concatenate([ids, end]))
-                    held += len(ids) + 1
-                    if held >= file_ids:
-                        yield close()
-                        keys, docs, held, seq = [], [], 0, seq + 1
+        for batch in small(batches):
+            texts = [t or "" for t in batch["_text"].to_pylist()]
+            for key, ids in zip(batch["_id"].to_pylist(), coder.encode(texts), strict=True):
+                keys.append(NULL_ID if key is None else key)
+                docs.append(np.concatenate([ids, end]))
+                held += len(ids) + 1
+                if held >= file_ids:
+                    yield close()
+                    keys, docs, held, seq = [], [], 0, seq + 1
         if docs:
             yield close()
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from . import bpe, packing, shards, urls
+from . import bpe, decontaminate, language, packing, pii, shards, urls
 
 QUERIES = {
+    "op1_language": language.op1_language,
     "op2_bpe": bpe.op2_bpe,
     "op6_url_filters": urls.op6_url_filters,
     "op7_sharding": shards.op7_sharding,
+    "op8_decontamination": decontaminate.op8_decontamination,
     "op9_token_output": packing.op9_token_output,
+    "op10_pii": pii.op10_pii,
 }
 
-ORACLES = {"op6_url_filters": urls.ORACLE}
+ORACLES = {"op6_url_filters": urls.ORACLE, "op8_decontamination": decontaminate.ORACLE}

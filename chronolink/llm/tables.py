@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,3 +24,10 @@ def sql_strings(values: Sequence[str]) -> str:
     """The values as quoted SQL strings, with every special character escaped."""
     quoted = (v.replace("\\", "\\\\").replace("'", "\\'") for v in values)
     return ", ".join(f"'{v}'" for v in quoted)
+
+
+def small(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that little is held as Python objects at a time."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
