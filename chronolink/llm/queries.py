@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, language, packing, pii, shards, urls
+from . import bpe, decontaminate, language, licenses, packing, pii, setsketch, shards, urls
 
 QUERIES = {
     "op1_language": language.op1_language,
     "op2_bpe": bpe.op2_bpe,
+    "op4_license_scan": licenses.op4_license_scan,
+    "op5_near_duplicates": setsketch.op5_near_duplicates,
     "op6_url_filters": urls.op6_url_filters,
     "op7_sharding": shards.op7_sharding,
     "op8_decontamination": decontaminate.op8_decontamination,
@@ -14,4 +16,8 @@ QUERIES = {
     "op10_pii": pii.op10_pii,
 }
 
-ORACLES = {"op6_url_filters": urls.ORACLE, "op8_decontamination": decontaminate.ORACLE}
+ORACLES = {
+    "op4_license_scan": licenses.ORACLE,
+    "op6_url_filters": urls.ORACLE,
+    "op8_decontamination": decontaminate.ORACLE,
+}
