@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, language, licenses, packing, pii, setsketch, shards, urls
+from . import bpe, covertree, decontaminate, language, licenses, packing, pii, setsketch, shards, urls
 
 QUERIES = {
     "op1_language": language.op1_language,
     "op2_bpe": bpe.op2_bpe,
+    "op3_embedding_dedup": covertree.op3_embedding_dedup,
     "op4_license_scan": licenses.op4_license_scan,
     "op5_near_duplicates": setsketch.op5_near_duplicates,
     "op6_url_filters": urls.op6_url_filters,
