@@ -40,9 +40,11 @@ FILE_IDS = 1 << 23
 NULL_ID = -(1 << 63)
 
 #: Distinct pieces of text whose ids a worker remembers; the memory is emptied when it is full.
-REMEMBERED = 600_000
+REMEMBERED = 1_200_000
 #: Characters looked at together.
 SPAN = 1 << 20
+#: Tasks that read files back, one for each file up to this.
+MAX_TASKS = 20_000
 
 # The tokenizer never joins what white space follows with that white space, nor a letter or digit with a
 # punctuation mark after it. So text may be cut there and the pieces encoded one by one.
@@ -292,9 +294,11 @@ def _batch(rows, types, names):
 
 def read_back(files: DataFrame) -> DataFrame:
     """Documents of the listed files: ``doc_id``, ``start`` (ids before it in all files), ``ids`` as u4."""
+    # A few rows that stand for much work: without a number they would be joined into one task.
+    tasks = min(max(files.count(), 1), MAX_TASKS)
     return (
         files.select("path", "first_id")
-        .repartition("path")
+        .repartition(tasks, "path")
         .mapInArrow(_read_files, "doc_id long, start long, ids binary")
     )
 
