@@ -265,18 +265,18 @@ def near_duplicates(
     """Per vector ``vec_id``, ``n_links``, ``component_id`` (smallest id reachable by links) and ``kept``.
 
     Vectors that are null, empty, zero or hold null or non-finite numbers are linked with nothing, and so are those of
-    another length than most. Rows that share an id are vectors of their own, named alike. An empty table gives an
+    another length than most or without an id. Rows that share an id are vectors of their own, named alike. An empty table gives an
     empty table; other columns are ignored.
     """
     spark = vectors.sparkSession
     plain = vectors.select(F.col(id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"))
-    plain = plain.withColumn("vector", F.when(F.expr("forall(vector, x -> x is not null)"), F.col("vector")))
+    plain = plain.withColumn("vector", F.when(F.expr("vec_id is not null and forall(vector, x -> x is not null)"), F.col("vector")))
     rows = stage(plain.mapInArrow(_prepare, "vec_id long, digest binary, v binary"), "vectors")
-    lengths = rows.filter("v is not null and vec_id is not null").groupBy(F.octet_length("v").alias("l"))
+    lengths = rows.filter("v is not null").groupBy(F.octet_length("v").alias("l"))
     most = lengths.agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "l").limit(1).collect()
     length = most[0]["l"] if most else 0
     classes = stage(
-        rows.filter((F.octet_length("v") == length) & F.col("vec_id").isNotNull())
+        rows.filter(F.octet_length("v") == length)
         .groupBy("digest")
         .agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("count"), F.first("v").alias("v")),
         "vector-classes",

@@ -60,50 +60,47 @@ def held_out(id: str = "doc_id") -> Column:
     return F.crc32(F.col(id).cast("string").cast("binary")) % FOLDS == 0
 
 
-def _count_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter[tuple[str, str]] = Counter()
+def _counted(name: str, counts: dict[str, Counter[str]]) -> Iterator[pa.RecordBatch]:
+    """Pass the counts on and forget them."""
+    for lang, own in counts.items():
+        if own:
+            arrays = [pa.array([lang] * len(own)), pa.array(list(own)), pa.array(list(own.values()), pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, ["lang", name, "n"])
+    counts.clear()
 
-    def flush():
-        langs, words = zip(*counts, strict=True)
-        arrays = [pa.array(langs), pa.array(words), pa.array(list(counts.values()), pa.int64())]
-        counts.clear()
-        return pa.RecordBatch.from_arrays(arrays, ["lang", "word", "n"])
 
+def _count_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts: dict[str, Counter[str]] = {}
     for batch in small(batches):
         for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True):
+            own = counts.setdefault(lang, Counter())
             for words in words_of(text):
-                for word, n in Counter(words).items():
-                    counts[lang, word] += n
-            if len(counts) > HELD:
-                yield flush()
-    if counts:
-        yield flush()
+                own.update(words)
+        if sum(map(len, counts.values())) > HELD:
+            yield from _counted("word", counts)
+    yield from _counted("word", counts)
 
 
 def _count_grams(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter[tuple[str, str]] = Counter()
-
-    def flush():
-        langs, grams = zip(*counts, strict=True)
-        arrays = [pa.array(langs), pa.array(grams), pa.array(list(counts.values()), pa.int64())]
-        counts.clear()
-        return pa.RecordBatch.from_arrays(arrays, ["lang", "gram", "n"])
-
-    for batch in batches:
+    counts: dict[str, Counter[str]] = {}
+    for batch in small(batches, 4096):
         for lang, word, n in zip(*(batch[c].to_pylist() for c in ("lang", "word", "n")), strict=True):
-            for size in GRAMS:
-                for gram in grams_of(word, size):
-                    counts[lang, gram] += n
-            if len(counts) > HELD:
-                yield flush()
-    if counts:
-        yield flush()
-
-
-def grams_of(word: str, size: int) -> Iterator[str]:
+            own = counts.setdefault(lang, Counter())
+            grams = [gram for size in GRAMS for gram in grams_of(word, size)]
+            if n == 1:
+                own.update(grams)
+            else:
+                for gram in grams:
+                    own[gram] += n
+        if sum(map(len, counts.values())) > HELD:
+            yield from _counted("gram", counts)
+    yield from _counted("gram", counts)
+
+
+def grams_of(word: str, size: int) -> list[str]:
     """N-grams of a word with its ends marked; single characters without marks."""
     marked = f" {word} " if size > 1 else word
-    return (marked[k : k + size] for k in range(len(marked) - size + 1))
+    return [marked[k : k + size] for k in range(len(marked) - size + 1)]
 
 
 class Model:
@@ -121,9 +118,10 @@ class Model:
         weight = 1.0
         for size in GRAMS:
             weight *= BACKOFF
-            found = [g for gram in grams_of(word, size) if (g := self.grams.get(gram)) is not None]
+            found = [g for g in map(self.grams.get, grams_of(word, size)) if g is not None]
             if found:
-                return tuple(weight * sum(x) / len(found) for x in zip(*found, strict=True))
+                part = weight / len(found)
+                return tuple([part * sum(x) for x in zip(*found, strict=True)])
         return (0.0,) * len(self.languages)
 
 
@@ -233,13 +231,13 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text", keep: list[st
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = _scores(sent)
         for batch in small(batches):
-            found = [scores.predict(t) for t in batch["_text"].to_pylist()]
-            arrays = [batch[c] for c in kept]
+            found = [scores.predict(t) for t in batch.column(0).to_pylist()]
+            arrays = batch.columns[1:]
             arrays += [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, [*kept, "lang_pred", "score"])
 
     schema = docs.select(*kept, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
-    return docs.select(*kept, F.col(text).alias("_text")).mapInArrow(run, schema)
+    return docs.select(F.col(text), *[F.col(c) for c in kept]).mapInArrow(run, schema)
 
 
 _LAST: list = [None, None]

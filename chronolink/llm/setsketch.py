@@ -235,19 +235,20 @@ def _both(pairs: DataFrame, table: DataFrame, columns: list[str]) -> DataFrame:
 def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document ``doc_id``, ``n_shingles``, ``component_id`` (smallest id reachable by links) and ``kept``.
 
-    Ids are longs. A null or empty text, or one of white space, has no shingles and is linked with nothing. Rows
-    that share an id are one document: what one of them is linked with, all are. An empty table gives an
+    Ids are longs. A null or empty text, or one of white space, has no shingles and is linked with nothing, and
+    so is a row without an id. Rows that share an id are one document: what one of them is linked with, all are. An empty table gives an
     empty table; other columns are ignored.
     """
     plain = docs.select(F.col(id).cast("long").alias("_id"), F.col(text).cast("binary").alias("_text"))
-    feats = stage(plain.mapInArrow(_features, "doc_id long, n long, digest binary, registers binary"), "sketches")
+    feats = plain.mapInArrow(_features, "doc_id long, n long, digest binary, registers binary")
+    feats = stage(feats.withColumn("digest", F.expr("if(doc_id is null, null, digest)")), "sketches")
     reps = stage(
-        feats.filter("n > 0")
+        feats.filter("digest is not null")
         .groupBy("digest")
         .agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("registers").alias("registers")),
         "classes",
     )
-    buckets = reps.filter("node is not null").mapInArrow(_buckets, "bucket long, node long")
+    buckets = reps.mapInArrow(_buckets, "bucket long, node long")
 
     # First round: every class of a bucket against two leaders.
     shared = (
