@@ -1,0 +1,187 @@
+"""URL filters, sharding, decontamination and license scans."""
+
+import re
+import zlib
+
+import pytest
+
+from chronolink.llm import decontaminate, licenses, shards, urls
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+# --- URL filters ---------------------------------------------------------------------------------------------------
+
+
+def fits(host, path, rule):
+    return (host == rule[0] or host.endswith("." + rule[0])) and path.startswith(rule[1])
+
+
+def verdict(url):
+    host = path = ""
+    if url is not None and "://" in url:
+        m = re.match(r"([^/?#]*)([^?#]*)", url.split("://", 1)[1])
+        host, path = re.sub("[A-Z]+", lambda m: m[0].lower(), m[1]), m[2]
+    own = [r for r in urls.RULES if fits(host, path, r)]
+    if not own:
+        return host, path, None, urls.DEFAULT
+    best = max(own, key=lambda r: (len(r[0]), len(r[1])))
+    return host, path, best[0] + best[1], best[2]
+
+
+URLS = [
+    None, "", "no scheme", "http://", "http://ORG/", "https://a.example.org/es/x?y#z", "http://example.org/en/1999",
+    "http://example.org/en/2", "http://xexample.org/es/", "ftp://b.c.com/fr/", "http://com/de/", "http://com/DE/", "x://é.COM/fr/é",
+    "http://org", "http://a.org?q=/es/", "http://a://b.org/", "http://..org/", "http://a.com:80/fr/", "\nhttp://q.org/\nx",
+    "http://" + "a." * 3000 + "com/fr/" + "x" * 50_000,
+]
+
+
+def test_urls(spark, table):
+    rows = [(k, u, "x", "y") for k, u in enumerate(URLS)] + [(0, URLS[5], "x", "y")] * 2
+    df = urls.judge(table(rows, "page_id long, url string, rule string, _short string"), urls.rule_table(spark))
+    assert sorted(df.columns) == sorted(["page_id", "url", "_short", "host", "path", "rule", "verdict"])
+    got = sorted((r["page_id"], r["host"], r["path"], r["rule"] or "", r["verdict"]) for r in df.collect())
+    want = sorted((k, h, p, rule or "", v) for k, u, *_ in rows for h, p, rule, v in [verdict(u)])
+    assert got == want
+
+
+def test_urls_without_rules_or_rows(spark, table):
+    pages = table([(1, "http://a.org/")], "page_id long, url string")
+    got = urls.judge(pages, urls.rule_table(spark, ()), default="block").collect()
+    assert [(r["rule"], r["verdict"]) for r in got] == [(None, "block")]
+    assert urls.judge(pages.limit(0), urls.rule_table(spark)).count() == 0
+
+
+# --- Sharding ------------------------------------------------------------------------------------------------------
+
+
+def check_shards(rows, wanted, count, largest):
+    assert sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["size"], r["text_crc32"]) for r in rows) == sorted(
+        (k is not None, k or 0, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for k, t in wanted
+    )
+    by = {}
+    for r in rows:
+        assert (r["law"], r["grown_shard"]) == ("bytes", None)
+        by.setdefault(r["shard"], []).append(r)
+    assert set(by) <= set(range(count))
+    mean = sum(r["size"] for r in rows) / count
+    for own in by.values():
+        assert sorted(r["slot"] for r in own) == list(range(len(own)))
+    assert all(abs(sum(r["size"] for r in by.get(k, [])) - mean) <= largest for k in range(count))
+
+
+@pytest.mark.parametrize("rows", [1, 7, 600])
+def test_shards(table, rows):
+    texts = [(k, "copy " * 30 if k % 3 == 0 else f"text {k} " * (k % 40)) for k in range(rows)]
+    texts += [(rows, None), (rows + 1, ""), (None, "no id"), (5, "again"), (5, "again"), (rows + 2, "é" * 4000)]
+    df = table([(*t, 1) for t in texts], "doc_id long, text string, size int")
+    check_shards(shards.assign(df, shards=6).collect(), texts, 6, 8016)
+
+
+def test_overfull_ranges_are_cut(table, monkeypatch):
+    monkeypatch.setattr(shards, "DRAWS", 1)
+    texts = [(k, "same") for k in range(900)]
+    check_shards(shards.assign(table(texts, "doc_id long, text string"), shards=5).collect(), texts, 5, 20)
+
+
+def test_shards_of_nothing(table):
+    assert shards.assign(table([], "doc_id long, text string")).count() == 0
+
+
+def test_whole_table(spark, texts):
+    rows = shards.op7_sharding(spark, SF_DIR).collect()
+    check_shards(rows, list(texts.items()), 40, max(len(t.encode()) for t in texts.values()) + 16)
+
+
+# --- Decontamination -----------------------------------------------------------------------------------------------
+
+
+def words_of(text):
+    return re.findall(rb"[0-9a-z\x80-\xff]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))
+
+
+def brute(docs, items):
+    test = {}
+    for key, text in items:
+        w = words_of(text)
+        for k in range(max(1, len(w) - 12) if w else 0):
+            test.setdefault(tuple(w[k : k + 13]), set()).add(str(key))
+    out = []
+    for key, text in docs:
+        w, hit, found = words_of(text), set(), set()
+        for n in {len(g) for g in test}:
+            for k in range(len(w) - n + 1):
+                if own := test.get(tuple(w[k : k + n])):
+                    hit.update(range(k, k + n))
+                    found |= own
+        out.append((key, len(w), len(hit), sorted(found), len(hit) > 0 and 20 * len(hit) >= len(w)))
+    return sorted(out, key=str)
+
+
+PASSAGE = "One two, three four five six seven eight nine ten eleven twelve thirteen fourteen"
+ITEMS = [(1, PASSAGE), (2, "Short Item é漢"), (3, None), (4, "..."), (5, PASSAGE + " and more"), (10, "the"), (11, "the the the")]
+DOCS = [
+    (1, "x y " + PASSAGE.upper() + " z"), (2, "short item É漢"), (3, "a short-item é漢 b"), (4, None), (5, ""), (6, "!!"),
+    (7, PASSAGE[:70]), (8, "the the the the"), (9, "filler " * 400 + PASSAGE + " filler" * 400), (1, "x y " + PASSAGE.upper() + " z"),
+    (None, PASSAGE), (12, "one two three four five six seven eight nine ten eleven twelve thirteen " * 3), (13, "the " * 20_000),
+]
+
+
+@pytest.mark.parametrize("most", [1000, 3])
+@pytest.mark.parametrize("items", [ITEMS, ITEMS[:5], []])
+def test_windows(spark, table, items, most):
+    docs = table([(*d, "x") for d in DOCS], "doc_id long, text string, _w string")
+    rows = decontaminate.find(docs, table(items, "item_id long, text string"), max_broadcast=most).collect()
+    got = [(r["doc_id"], r["n_words"], r["n_hit"], r["items"], r["contaminated"]) for r in rows]
+    assert sorted(got, key=str) == brute(DOCS, items)
+
+
+def test_clean(table):
+    docs = table([(*d, "x", 1) for d in DOCS], "doc_id long, text string, _id string, contaminated int")
+    kept = decontaminate.clean(docs, table(ITEMS[:1], "item_id long, text string"))
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == [2, 3, 4, 5, 6, 7, 8, 9, 13]
+    assert decontaminate.find(docs.limit(0), table(ITEMS, "item_id long, text string")).count() == 0
+
+
+# --- Licenses ------------------------------------------------------------------------------------------------------
+
+MIT = """MIT License
+
+Copyright (c) 2024 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
+associated documentation files (the "Software"), to deal in the Software without restriction, including
+without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the
+following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+BSD = [licenses.SENTENCES[k] for k in ("bsd use", "bsd source", "bsd binary", "bsd names")]
+
+
+def test_licenses(table):
+    rows = [
+        (1, MIT), (2, None), (3, ""), (4, "// SPDX-License-Identifier: MIT\ncode"), (5, "x\nReleased under the MIT License.\ny"),
+        (6, ": ".join(BSD) + "."), (7, ". ".join(BSD[:3]) + ". Other words. "), (8, ". ".join(BSD[::-1]) + "."),
+        (9, "Licensed under CC BY-NC 4.0. Licensed under CC BY 4.0. All rights reserved."), (10, "Mit. SPDX license identifier"),
+        (5, "x\nReleased under the MIT License.\ny"), (11, "Licensed under the Apache License, Version 2.0! " * 3000),
+    ]
+    got = licenses.scan(table([(*r, 1) for r in rows], "doc_id long, text string, license int")).collect()
+    assert sorted((r["doc_id"], r["license"] or "", r["licenses"]) for r in got) == [
+        (1, "MIT", "MIT"), (2, "", ""), (3, "", ""), (4, "MIT", "MIT"), (5, "MIT", "MIT"), (5, "MIT", "MIT"),
+        (6, "BSD-3-Clause", "BSD-3-Clause"), (7, "BSD-2-Clause", "BSD-2-Clause"), (8, "", ""),
+        (9, "CC-BY-NC-4.0", "CC-BY-NC-4.0,proprietary"), (10, "", ""), (11, "Apache-2.0", "Apache-2.0"),
+    ]
+    assert {r["doc_id"]: r["n_sentences"] for r in got}[11] == 3000
+    assert licenses.scan(table([], "doc_id long, text string")).count() == 0
+
+
+def test_rules_name_known_sentences():
+    assert all(s in licenses.SENTENCES for _, _, names in licenses.RULES for s in names)
+    assert all(re.fullmatch("[a-z0-9]+( [a-z0-9]+)*", s) for s in licenses.SENTENCES.values())
+
+
