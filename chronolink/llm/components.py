@@ -8,6 +8,7 @@ rounds grows with the logarithm of the graph, and every step is a join or a pre-
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,3 +59,20 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _tidy(edges: DataFrame) -> DataFrame:
     return edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def local_components(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The smallest number in the component of each of n numbers linked by pairs."""
+    label = np.arange(n)
+    while len(i):
+        a, b = label[i], label[j]
+        low = np.minimum(a, b)
+        new = label.copy()
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        while (jumped := new[new]).tobytes() != new.tobytes():
+            new = jumped
+        if (new == label).all():
+            break
+        label = new
+    return label

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from chronolink.plans.staging import stage
 
-from .components import components
+from .components import components, local_components
 from .tables import read, small
 
 COSINE = 0.9
@@ -126,23 +126,6 @@ def traverse(a: CoverTree, b: CoverTree, limit: float) -> np.ndarray:
     return np.array(found, int).reshape(-1, 2)
 
 
-def local_components(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """The smallest number in the component of each of n numbers linked by pairs."""
-    label = np.arange(n)
-    while len(i):
-        a, b = label[i], label[j]
-        low = np.minimum(a, b)
-        new = label.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        while (jumped := new[new]).tobytes() != new.tobytes():
-            new = jumped
-        if (new == label).all():
-            break
-        label = new
-    return label
-
-
 def _tree(points: np.ndarray) -> tuple[CoverTree, list[np.ndarray]]:
     tree = CoverTree.build(points, BLOCK_LEAVES)
     to_leaf = np.sqrt(np.maximum(2 - 2 * np.einsum("ij,ij->i", points, tree.centres[tree.leaf]), 0))

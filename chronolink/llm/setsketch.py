@@ -6,9 +6,11 @@ of similar sets agree about as often as the sets do. Bands of registers make buc
 estimated jointly by likelihood from their registers and sizes, and those that might be similar enough are verified on
 their full shingle sets.
 
-Documents with equal sets are one class from the start. In a bucket every class first meets two leaders; what these links
-leave apart is compared block by block, whatever the size of the bucket, and only pairs across components go on to be
-verified. So a group of near copies costs as many pairs as it has members, and no pair that shares a bucket is left open.
+Documents with equal sets are one class from the start. In its buckets every class first meets a few leaders, those that
+it shares most buckets with. What these links leave apart is compared by registers, block by block, whatever the size of
+the bucket: classes of different components that look alike form a cluster. Then the full sets of each cluster meet, again
+in blocks of bounded size, and every promising pair across components is verified. So a group of near copies costs rows
+in proportion to its members, and no pair that shares a bucket is left open.
 """
 
 from __future__ import annotations
@@ -19,12 +21,12 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chronolink.plans.staging import stage
 
-from .components import components
+from .components import components, local_components
 from .tables import read, small
 
 WORDS = 5
@@ -37,8 +39,14 @@ BAND = 4
 BASE = 1.001
 #: Pairs with a likeliest similarity below this are not verified: four and a half deviations under the limit.
 LEAST_ESTIMATE = 0.57
-#: Classes of a bucket that are compared at a time.
+#: Leaders that a class meets in the first round, of all those of its buckets.
+LEADERS = 8
+#: Share of equal registers below which two classes do not look alike: six deviations under the limit.
+LEAST_EQUAL = 0.52
+#: Classes of a bucket or cluster that are compared at a time.
 BLOCK = 512
+#: Bits of the filter by which a scan tells documents that may be wanted, at most; 2 MB.
+FILTER_BITS = 1 << 24
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = np.random.default_rng(20240229).integers(0, 1 << 32, REGISTERS, dtype=np.uint32)
@@ -176,52 +184,119 @@ def _promising(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch[c].filter(keep) for c in ("a", "b")], ["a", "b"])
 
 
-def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in small(batches):
-        sets = [shingles(t).tobytes() for t in batch["_text"].to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch["_id"], pa.array(sets, pa.binary())], ["node", "set"])
-
+def _sets(sent):
+    """Full sets of the documents that the filter lets through."""
 
-def _verified(keep: list[str]):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small(batches):
-            sets = zip(batch["set_a"].to_pylist(), batch["set_b"].to_pylist(), strict=True)
-            held = [similar(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) for a, b in sets]
-            yield pa.RecordBatch.from_arrays([batch[c].filter(pa.array(held)) for c in keep], keep)
+        bits = sent.value
+        for batch in batches:
+            at = batch["_bit"].to_numpy(zero_copy_only=False)
+            wanted = batch.filter(pa.array((bits[at >> 6] >> (at & 63)) & 1 != 0))
+            for part in small([wanted]):
+                sets = [shingles(t).tobytes() for t in part["_text"].to_pylist()]
+                yield pa.RecordBatch.from_arrays([part["_id"], pa.array(sets, pa.binary())], ["node", "set"])
 
     return run
 
 
-def _across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Promising pairs across components, of classes in one block or in two."""
-    names = ["a", "b", "c_a", "c_b"]
+def _filter(nodes: DataFrame) -> tuple[np.ndarray, int]:
+    """A bit for each node, at a place its hash gives; the number of bits follows that of the nodes up to a bound."""
+    size = min(FILTER_BITS, max(1 << 16, 1 << (16 * nodes.count()).bit_length()))
+    place = _place("node", size)
+    words = (
+        nodes.select(place.alias("p"))
+        .groupBy(F.shiftright("p", 6).alias("w"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("v"))
+    )
+    bits = np.zeros(size >> 6, np.int64)
+    for w, v in words.collect():  # FILTER_BITS / 64 rows at most
+        bits[w] = v
+    return bits, size
+
+
+def _place(node: str, size: int):
+    return F.xxhash64(node).bitwiseAND(F.lit(size - 1).cast("long"))
+
+
+def _verified(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in small(batches):
+        sets = zip(batch["set_a"].to_pylist(), batch["set_b"].to_pylist(), strict=True)
+        held = pa.array([similar(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) for a, b in sets], pa.bool_())
+        yield pa.RecordBatch.from_arrays([batch[c].filter(held) for c in ("a", "b")], ["a", "b"])
+
+
+class _Group:
+    """Members of a row, as arrays; ``split`` says that they are two blocks to be compared with each other."""
+
+    def __init__(self, members: pa.StructArray):
+        self.node, self.comp, self.n, part = (
+            members.field(c).to_numpy(zero_copy_only=False) for c in ("node", "c", "n", "part")
+        )
+        self.registers, self.part = _rows(members.field("registers")), part
+        self.split = part.min() != part.max()
+
+    def partners(self, k: int) -> np.ndarray:
+        """Later members to compare with member ``k``: of another component, alike in size and registers."""
+        at = np.arange(k + 1, len(self.node))
+        keep = self.comp[at] != self.comp[k]
+        if self.split:
+            keep &= self.part[at] != self.part[k]
+        n = self.n[at]
+        keep &= 100 * np.minimum(n, self.n[k]) >= PERCENT * np.maximum(n, self.n[k])
+        at = at[keep]
+        equal = (self.registers[at] == self.registers[k]).sum(1)
+        return at[equal >= LEAST_EQUAL * REGISTERS]
+
+
+def _alike(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Classes that look like one of another component, linked to the first member they hang together with."""
     for batch in small(batches, 64):
-        found: list[list[np.ndarray]] = [[] for _ in names]
-        for group in batch["members"]:
-            members = group.values
-            node, comp, n, part = (
-                members.field(c).to_numpy(zero_copy_only=False) for c in ("node", "c", "n", "part")
-            )
-            registers = _rows(members.field("registers"))
-            split = part.min() != part.max()
-            for k in range(len(node) - 1):
-                at = np.arange(k + 1, len(node))
-                at = at[(comp[at] != comp[k]) & ((part[at] != part[k]) | (not split))]
-                if not len(at):
-                    continue
-                near = (registers[at] == registers[k]).sum(1) >= 0.4 * REGISTERS
-                at = at[near]
-                if not len(at):
-                    continue
-                mine = np.broadcast_to(registers[k], (len(at), REGISTERS))
-                at = at[promising(mine, registers[at], np.full(len(at), n[k]), n[at])]
-                swap = node[at] < node[k]
-                for out, (one, two) in zip(
-                    found, ((node[k], node[at]), (node[at], node[k]), (comp[k], comp[at]), (comp[at], comp[k])), strict=True
-                ):
-                    out.append(np.where(swap, two, one))
-        arrays = [pa.array(np.concatenate(f) if f else np.empty(0, np.int64), pa.int64()) for f in found]
-        yield pa.RecordBatch.from_arrays(arrays, names)
+        nodes, roots = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for members in batch["members"]:
+            group = _Group(members.values)
+            i, j = [], []
+            for k in range(len(group.node) - 1):
+                if len(at := group.partners(k)):
+                    i.append(np.full(len(at), k))
+                    j.append(at)
+            if i:
+                i, j = np.concatenate(i), np.concatenate(j)
+                label = local_components(len(group.node), i, j)
+                own = np.unique(np.concatenate([i, j]))
+                nodes.append(group.node[own])
+                roots.append(group.node[label[own]])
+        arrays = [pa.array(np.concatenate(x), pa.int64()) for x in (nodes, roots)]
+        yield pa.RecordBatch.from_arrays(arrays, ["a", "b"])
+
+
+def _verified_across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between components, by the full sets of the members of a cluster."""
+    for batch in small(batches, 1):
+        found: set[tuple[int, int]] = set()
+        for members in batch["members"]:
+            group = _Group(members.values)
+            sets = [np.frombuffer(v, np.uint64) for v in members.values.field("set").to_pylist()]
+            for k in range(len(group.node) - 1):
+                at = group.partners(k)
+                if len(at):
+                    mine = np.broadcast_to(group.registers[k], (len(at), REGISTERS))
+                    at = at[promising(mine, group.registers[at], np.full(len(at), group.n[k]), group.n[at])]
+                for j in at[_shared_enough(sets[k], [sets[j] for j in at])]:
+                    found.add((int(group.comp[k]), int(group.comp[j])))
+        pairs = list(found)
+        arrays = [pa.array([p[e] for p in pairs], pa.int64()) for e in (0, 1)]
+        yield pa.RecordBatch.from_arrays(arrays, ["a", "b"])
+
+
+def _shared_enough(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Which of the sets are similar enough to ``own``."""
+    if not others:
+        return np.empty(0, bool)
+    sizes = np.array([len(o) for o in others])
+    every = np.concatenate(others)
+    place = np.minimum(np.searchsorted(own, every), len(own) - 1)
+    shared = np.add.reduceat((own[place] == every).astype(np.int64), np.cumsum(sizes) - sizes)
+    return 100 * shared >= PERCENT * (len(own) + sizes - shared)
 
 
 def _both(pairs: DataFrame, table: DataFrame, columns: list[str]) -> DataFrame:
@@ -263,38 +338,43 @@ def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text")
     shared = stage(
         buckets.join(shared.select("bucket", "size", "lead", F.col("other.node").alias("other")), "bucket"), "shared"
     )
+    # A class has at most two leaders a band, so the window is over a few dozen rows.
+    closest = Window.partitionBy("node").orderBy(F.desc("bands"), "lead")
     first = (
         shared.select("node", F.explode(F.array("lead", "other")).alias("lead"))
         .filter("node <> lead")
+        .groupBy("node", "lead")
+        .agg(F.count(F.lit(1)).alias("bands"))
+        .withColumn("place", F.row_number().over(closest))
+        .filter(F.col("place") <= LEADERS)
         .select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b"))
         .distinct()
     )
     first = stage(_both(first, reps, ["registers", "n"]).mapInArrow(_promising, "a long, b long"), "pairs")
-    links = stage(_verify(first, plain, ["a", "b"]), "links")
+    links = stage(_verify(first, plain), "links")
     joined = stage(components(links), "components")
 
-    # Second round: pairs of a bucket that are in different components by now.
+    # Second round: classes of a bucket that are in different components by now.
     placed = shared.join(joined, "node", "left").select(
         "bucket", "size", "node", F.coalesce("component", "node").alias("c")
     )
     mixed = placed.groupBy("bucket").agg(F.min("c").alias("_min"), F.max("c").alias("_max")).filter("_min <> _max")
-    parts = F.ceil(F.col("size") / BLOCK).cast("int")
-    part = F.pmod(F.xxhash64("node"), parts).cast("int")
-    member = F.struct("node", "c", "n", "part", "registers")
-    open_pairs = (
-        placed.join(mixed.select("bucket"), "bucket", "left_semi")
-        .select("bucket", "node", "c", part.alias("part"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("with"))
+    open_rows = placed.join(mixed.select("bucket"), "bucket", "left_semi").join(
+        reps.select("node", "n", "registers"), "node"
+    )
+    columns = ["node", "c", "n", "part", "registers"]
+    edges = _in_blocks(open_rows, "bucket", columns).mapInArrow(_alike, "a long, b long")
+    clusters = components(edges).withColumnRenamed("component", "cluster")
+    sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
+    clusters = stage(clusters.join(sizes, "cluster"), "clusters")
+    members = (
+        clusters.join(joined, "node", "left")
+        .select("cluster", "size", "node", F.coalesce("component", "node").alias("c"))
         .join(reps.select("node", "n", "registers"), "node")
-        .groupBy("bucket", F.least("part", "with").alias("lo"), F.greatest("part", "with").alias("hi"))
-        .agg(F.collect_list(member).alias("members"))
-        .filter("size(members) > 1")
-        .select("members")
-        .mapInArrow(_across, "a long, b long, c_a long, c_b long")
-        .distinct()
-        .join(first, ["a", "b"], "left_anti")
+        .join(_sets_of(clusters.select("node"), plain), "node")
     )
-    more = _verify(stage(open_pairs, "open-pairs"), plain, ["c_a", "c_b"])
-    joins = components(more.select(F.col("c_a").alias("a"), F.col("c_b").alias("b")))
+    more = _in_blocks(members, "cluster", [*columns, "set"]).mapInArrow(_verified_across, "a long, b long")
+    joins = components(more)
     joins = joins.select(F.col("node").alias("component"), F.col("component").alias("end"))
     final = stage(
         joined.join(joins, "component", "left").select("node", F.coalesce("end", "component").alias("component"))
@@ -316,12 +396,37 @@ def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text")
     )
 
 
-def _verify(pairs: DataFrame, plain: DataFrame, keep: list[str]) -> DataFrame:
+def _in_blocks(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """``members`` of a key (which has ``size`` rows) in pairs of blocks, so that any two come together once."""
+    parts = F.ceil(F.col("size") / BLOCK).cast("int")
+    part = F.pmod(F.xxhash64("node"), parts).cast("int")
+    return (
+        rows.select(
+            key, *[c for c in columns if c != "part"], part.alias("part"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("with")
+        )
+        .groupBy(key, F.least("part", "with").alias("lo"), F.greatest("part", "with").alias("hi"))
+        .agg(F.collect_list(F.struct(*columns)).alias("members"))
+        .filter("size(members) > 1 and (lo = hi or exists(members, m -> m.part = lo) and exists(members, m -> m.part = hi))")
+        .select("members")
+    )
+
+
+def _sets_of(nodes: DataFrame, plain: DataFrame) -> DataFrame:
+    """(node, set) of the wanted nodes, and of some others.
+
+    The texts stay where they are: a filter of bounded size picks those to take sets of, and what it lets through by
+    chance finds nothing to join.
+    """
+    bits, size = _filter(nodes)
+    sent = plain.sparkSession.sparkContext.broadcast(bits)
+    return plain.withColumn("_bit", _place("_id", size)).mapInArrow(_sets(sent), "node long, set binary")
+
+
+def _verify(pairs: DataFrame, plain: DataFrame) -> DataFrame:
     """The pairs whose full sets are similar enough."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
-    sets = plain.join(wanted, "_id", "left_semi").mapInArrow(_sets, "node long, set binary")
-    schema = ", ".join(f"{c} long" for c in keep)
-    return _both(pairs, sets, ["set"]).mapInArrow(_verified(keep), schema).distinct()
+    wanted = stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
+    both = _both(pairs, _sets_of(wanted, plain), ["set"])
+    return both.mapInArrow(_verified, "a long, b long").distinct()
 
 
 def without_near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -2,7 +2,8 @@ import numpy as np
 import pytest
 
 from chronolink.llm import covertree
-from chronolink.llm.covertree import CoverTree, links_between, local_components, traverse
+from chronolink.llm.components import local_components
+from chronolink.llm.covertree import CoverTree, links_between, traverse
 
 
 def points_of(rng, n, dim=8, groups=6):
