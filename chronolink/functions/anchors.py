@@ -6,14 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # What an anchor looks like in each kind of text.
-HTML_ANCHOR = r"<a [^>]*>([^<]*)</a>"
-HTML_ANCHOR_TAG = r"<a ([^>]*)>"
-WIKI_LINK = r"\[\[([^\[\]|#]+)"
+HTML_ANCHOR = r"(?is)<a\s[^>]*>.*?</a\s*>"
+HTML_LABEL = r"(?is)^<a\s[^>]*>(.*)</a\s*>$"
+HTML_TAG = r"<[^>]*>"
+# A target is followed by a section, a label or the closing brackets.
+WIKI_LINK = r"\[\[([^\[\]|#]+)(?=\||\]\]|#[^\[\]|]*(?:\||\]\]))"
 WIKI_ANCHOR = r"\[\[[^\[\]]*\]\]"
-WIKI_HIDING = ("<!--", "<nowiki>")
-WIKI_UNRENDERED = r"(?s)<!--.*?-->|<nowiki>.*?</nowiki>"
+WIKI_COMMENT = r"(?s)<!--.*?-->"
+WIKI_PLAIN = r"(?is)(?=<nowiki>)|(?<=</nowiki>)"
 # Wiki links that put a page in a category or show a file; they lead to no page.
-WIKI_NOT_LINKS = ("Category:", "File:", "Image:")
+WIKI_NOT_LINKS = ("category:", "file:", "image:")
+# Stands for square brackets that are no markup; not a character of any title.
+BRACKET = "\ue000"
 
 # Prefixes of titles that are no articles, the class of outside links, the longest title.
 USER_PREFIXES = ("User:", "User talk:")
@@ -33,24 +37,16 @@ def anchors(text: Column | str, kind: str) -> Column:
     """
     text = F.col(text) if isinstance(text, str) else text
     if kind == "wikitext":
-        # Few texts have comments, and a look for them is much cheaper than the pattern.
-        hides = _any(F.contains(text, F.lit(mark)) for mark in WIKI_HIDING)
-        shown = F.when(hides, F.regexp_replace(text, WIKI_UNRENDERED, "")).otherwise(text)
-        titles = F.regexp_extract_all(shown, F.lit(WIKI_LINK), F.lit(1))
+        titles = F.regexp_extract_all(_rendered(text), F.lit(WIKI_LINK), F.lit(1))
         titles = F.transform(titles, lambda t: F.trim(t))
-        unlinked = [lambda t, p=p: t.startswith(p) for p in WIKI_NOT_LINKS]
+        unlinked = [lambda t, p=p: F.lower(t).startswith(p) for p in WIKI_NOT_LINKS]
         titles = F.filter(titles, lambda t: ~_any(f(t) for f in unlinked))
         # A leading colon links to a category or file page instead of using it.
         titles = F.transform(titles, lambda t: F.regexp_replace(t, "^:", ""))
         found = F.transform(titles, lambda t: _link(t, F.lit(None).cast("string")))
-    elif kind == "text":
+    elif kind in ("title", "href", "text"):
         whole = F.regexp_extract_all(text, F.lit(HTML_ANCHOR), F.lit(0))
-        found = F.transform(
-            whole, lambda a: _link(F.regexp_extract(a, HTML_ANCHOR, 1), _attribute(a, "class"))
-        )
-    elif kind in ("title", "href"):
-        tags = F.regexp_extract_all(text, F.lit(HTML_ANCHOR_TAG), F.lit(0))
-        found = F.transform(tags, lambda a: _link(_attribute(a, kind), _attribute(a, "class")))
+        found = F.transform(whole, lambda a: _link(_titled(a, kind), _attribute(a, "class")))
     else:
         raise ValueError(f"kind must be one of {KINDS}, not {kind!r}")
     nothing = F.array().cast("array<struct<title:string,class:string>>")
@@ -58,13 +54,30 @@ def anchors(text: Column | str, kind: str) -> Column:
 
 
 def without_anchors(text: Column | str, kind: str) -> Column:
-    """The text with its links cut out, labels included."""
-    return F.regexp_replace(text, WIKI_ANCHOR if kind == "wikitext" else HTML_ANCHOR, "")
+    """The text with its links cut out, labels included; of wikitext also comments."""
+    if kind == "wikitext":
+        shown = _rendered(F.col(text) if isinstance(text, str) else text)
+        # A label may hold a link of its own, so the outer one is left for a second look.
+        return F.regexp_replace(F.regexp_replace(shown, WIKI_ANCHOR, ""), WIKI_ANCHOR, "")
+    return F.regexp_replace(text, HTML_ANCHOR, "")
 
 
 def without_tags(text: Column | str) -> Column:
     """The text with HTML tags cut out."""
-    return F.regexp_replace(text, r"<[^>]*>", "")
+    return F.regexp_replace(text, HTML_TAG, "")
+
+
+def _rendered(text: Column) -> Column:
+    """Wikitext without comments, with the brackets inside ``nowiki`` taken out of use.
+
+    Few texts have either, and a look for them is much cheaper than the patterns.
+    """
+    shown = F.when(F.contains(text, F.lit("<!--")), F.regexp_replace(text, WIKI_COMMENT, "")).otherwise(text)
+    plain = lambda p: F.when(
+        F.lower(p).startswith("<nowiki>"), F.translate(p, "[]", BRACKET * 2)
+    ).otherwise(p)
+    whole = F.array_join(F.transform(F.split(shown, WIKI_PLAIN), plain), "")
+    return F.when(F.contains(F.lower(text), F.lit("<nowiki>")), whole).otherwise(shown)
 
 
 def is_basic_link(title: Column, css_class: Column) -> Column:
@@ -89,9 +102,16 @@ def _link(title, css_class):
     return F.struct(title.alias("title"), css_class.alias("class"))
 
 
-def _attribute(tag, name):
-    pattern = rf'(?i)\s{name}="([^"]*)"'
-    return F.when(tag.rlike(pattern), F.regexp_extract(tag, pattern, 1))
+def _titled(anchor, kind):
+    if kind != "text":
+        return _attribute(anchor, kind)
+    return F.regexp_replace(F.regexp_extract(anchor, HTML_LABEL, 1), HTML_TAG, "")
+
+
+def _attribute(anchor, name):
+    tag = F.regexp_extract(anchor, r"(?is)^<a\s[^>]*>", 0)
+    pattern = rf"(?is)\s{name}\s*=\s*([\"'])(.*?)\1"
+    return F.when(tag.rlike(pattern), F.regexp_extract(tag, pattern, 2))
 
 
 def _inside(css_class):

@@ -32,6 +32,7 @@ def temporal_edges(
         ["ts", "rev_id"],
         lead={"next_ts": "ts"},
         hot_rows=hot_rows,
+        also=links,
     )
     placed = links.join(ordered, ["article", "rev_id"])
     return _runs(placed, hot_rows if hot else None, include_open)
@@ -50,6 +51,7 @@ def temporal_edges_from_arrays(
         ["ts", "rev_id"],
         lead={"next_ts": "ts"},
         hot_rows=hot_rows,
+        weight=1 + F.greatest(F.coalesce(F.size("links"), F.lit(0)), F.lit(0)),
     )
     placed = ordered.select("article", "seq", "ts", "next_ts", F.inline("links"))
     return _runs(placed, hot_rows if hot else None, include_open)

@@ -79,7 +79,6 @@ def with_link_counts(
     if count_in == "text":
         rest = without_tags(rest)
 
-    mentions = literal_counts(F.when(F.size("links") > 0, rest), F.col("links.target"))
     total = F.transform(
         "links",
         lambda link, i: F.struct(
@@ -89,7 +88,9 @@ def with_link_counts(
             (link.anchors + F.get("_mentions", i)).alias("cnt"),
         ),
     )
-    counted = with_anchor_counts(df, kind=kind, text=text).withColumn("_mentions", mentions)
+    counted = with_anchor_counts(df, kind=kind, text=text)
+    counted = with_columns_once(counted, {"_rest": F.when(F.size("links") > 0, rest)})
+    counted = with_columns_once(counted, {"_mentions": literal_counts("_rest", F.col("links.target"))})
     kept = [c for c in df.columns if c != "links"]
     return with_columns_once(counted, {"links": total}).select(*kept, "links")
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.sequence import HOT_ROWS, number_rows
+from ..plans.sequence import HOT_ROWS, number_rows, number_rows_checked
 
 # Revisions per row of ``article_history``.
 HISTORY_PART = 1_000
@@ -42,16 +42,19 @@ def article_history(
 ) -> DataFrame:
     """The revisions of each article with their links, gathered in time order.
 
-    ``rev_links`` is ``(article, rev_id, ts, links)``. A history has no size limit, so it comes as
-    consecutive parts of at most ``part_size`` revisions; all parts in order are the whole history.
+    ``rev_links`` is ``(article, rev_id, ts, links)``. A history has no size limit, so a row is always a part of
+    one, ``(article, part, first_pos, last_pos, revisions)``: at most ``part_size`` consecutive revisions, with the
+    1-based positions of the first and the last in the whole history. All parts in order are the history.
     """
     numbered = number_rows(rev_links, ["article"], ["ts", "rev_id"], hot_rows=hot_rows)
     part = F.floor((F.col("seq") - 1) / part_size).alias("part")
     return numbered.groupBy("article", part).agg(
+        F.min("seq").alias("first_pos"),
+        F.max("seq").alias("last_pos"),
         F.transform(
             F.sort_array(F.collect_list(F.struct("seq", "ts", "rev_id", "links"))),
             lambda r: F.struct(r.ts.alias("ts"), r.rev_id.alias("rev_id"), r.links.alias("links")),
-        ).alias("revisions")
+        ).alias("revisions"),
     )
 
 
@@ -66,12 +69,13 @@ def link_changes(
     Each link row is put down twice, at its own revision and at the following one; what meets
     there says what changed. A group is two rows at most, whatever the length of the history.
     """
-    ordered = number_rows(
+    ordered, _ = number_rows_checked(
         revisions.select("article", "rev_id", "ts"),
         ["article"],
         ["ts", "rev_id"],
         lead={"next_ts": "ts", "next_rev": "rev_id"},
         hot_rows=hot_rows,
+        also=links,
     )
     here = F.struct("rev_id", "ts", F.lit(True).alias("now"))
     there = F.struct(

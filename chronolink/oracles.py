@@ -102,6 +102,50 @@ conv as (
 """
 
 
+_PLAIN_TEXTS = f"""
+page_texts as (
+  select page_id, true as whole,
+         case page_id % 4 when 0 then '' when 1 then 'Category:' when 2 then 'File:'
+              else 'Template:' end || {_TITLE} as title, html as text
+  from pages)
+"""
+
+_HISTORY = """
+        select article, (seq - 1) // 10 as part, (seq - 1) // 10 * 10 + 1 as first_pos,
+               least((seq - 1) // 10 * 10 + 10, n) as last_pos, seq as pos, ts,
+               cast(row_number() over (partition by article, rev_id order by target, cnt) - 1 as integer)
+                 as link_at, target, cnt
+        from (select *, row_number() over (partition by article order by ts, rev_id) as seq,
+                     count(*) over (partition by article) as n from revisions)
+        join links using (article, rev_id)"""
+
+# Links of the pages with anchors of five kinds, told from the plain anchors they are made of.
+_WILD = f"""
+plain as (
+  select page_id, html, {_TITLE} as page_title,
+         unnest(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2)) as label
+  from pages),
+wild as (
+  select page_id, page_title, html, case page_id % 5 when 3 then 'Talk:' || label else label end as target
+  from plain where page_id % 5 in (0, 1, 3))
+"""
+
+
+def _graph(where: str = "") -> str:
+    return f"""with {_CONVERSATIONS},
+        revisions as (select article, rev_id, ts from conv where conv_id % 7 <> 0 {where}),
+        linked as (
+          select article, rev_id, text, unnest([word, role]) as target from conv
+          where conv_id % 7 <> 0 {where}),
+        links as (
+          select article, rev_id, target, count(*) + any_value(cast(
+                   (length(rest) - length(replace(rest, target, ''))) / length(target) as bigint)) as cnt
+          from (select *, regexp_replace(text, '\\[\\[[^\\[\\]]*\\]\\]', '', 'g') as rest
+                from linked where target <> '')
+          group by 1, 2, 3)
+        {_RUNS} {_CLOSED}"""
+
+
 def _delta(body: str) -> str:
     return f"with {_EVENTS} {_CHANGES} {body}"
 
@@ -115,6 +159,7 @@ ORACLES = {
         select article, target, cnt, min(ts) as valid_from,
                case when count(*) = count(next_ts) then max(next_ts) end as valid_to
         from j group by article, target, cnt, grp""",
+    "temporal_edges_hot": f"with {_EVENTS} {_RUNS} {_CLOSED}",
     "edge_lines": f"""with {_EVENTS} {_RUNS}
         select article, '[' || strftime(valid_from, '%Y-%m-%dT%H:%M:%S') || ','
                || strftime(valid_to, '%Y-%m-%dT%H:%M:%S') || '] ' || target || ' ' || cnt as line
@@ -123,35 +168,38 @@ ORACLES = {
         select article || chr(9) || '[' || strftime(valid_from, '%Y-%m-%dT%H:%M:%S') || ','
                || strftime(valid_to, '%Y-%m-%dT%H:%M:%S') || '] ' || target || ' ' || cnt as value
         from closed""",
+    "edge_article_sink": f"""with {_EVENTS} {_RUNS}
+        select article || chr(9) || '[' || strftime(valid_from, '%Y-%m-%dT%H:%M:%S') || ','
+               || strftime(valid_to, '%Y-%m-%dT%H:%M:%S') || '] ' || target || ' ' || cnt as value
+        from closed""",
     "revision_order": f"""with {_EVENTS}
         select article, ts, row_number() over w as seq, lead(ts) over w as next_ts
         from revisions window w as (partition by article order by ts, rev_id)""",
     "revisions_grouped": f"""with {_EVENTS}
         select article, count(*) as n_revisions, min(ts) as first_ts, max(ts) as last_ts
         from revisions group by article""",
-    "article_history": f"""with {_EVENTS},
-        s as (select *, row_number() over (partition by article order by ts, rev_id) as seq
-              from revisions),
-        n as (select article, rev_id, count(*) as n_links from links group by 1, 2)
-        select article, (seq - 1) // 10 as part, count(*) as n_revisions, min(ts) as first_ts,
-               max(ts) as last_ts, cast(sum(coalesce(n_links, 0)) as bigint) as n_links
-        from s left join n using (article, rev_id) group by 1, 2""",
+    "article_history": f"with {_EVENTS} {_HISTORY}",
+    "article_history_hot": f"with {_EVENTS} {_HISTORY}",
+    "link_changes_hot": _delta("""
+        select *, 'kept' as change from (select * from now_ intersect select * from before_)
+        union all select *, 'removed' from (select * from before_ except select * from now_)
+        union all select *, 'added' from (select * from now_ except select * from before_)"""),
     "delta_kept": _delta("select * from now_ intersect select * from before_"),
     "delta_removed": _delta("select * from before_ except select * from now_"),
     "delta_added": _delta("select * from now_ except select * from before_"),
     "delta_merged": _delta("select * from now_"),
     "link_delta": _delta("""
-        , k as (select article, ts, count(*) as n
-                from (select * from now_ intersect select * from before_) group by 1, 2),
-        r as (select article, ts, count(*) as n
-              from (select * from before_ except select * from now_) group by 1, 2),
-        a as (select article, ts, count(*) as n
-              from (select * from now_ except select * from before_) group by 1, 2)
-        select revisions.article, revisions.ts, coalesce(k.n, 0) as n_kept,
-               coalesce(r.n, 0) as n_removed, coalesce(a.n, 0) as n_added,
-               coalesce(k.n, 0) + coalesce(a.n, 0) as n_merged
-        from revisions left join k using (article, ts) left join r using (article, ts)
-             left join a using (article, ts)"""),
+        , c as (
+          select *, 'kept' as name from (select * from now_ intersect select * from before_)
+          union all select *, 'removed' from (select * from before_ except select * from now_)
+          union all select *, 'added' from (select * from now_ except select * from before_)
+          union all select *, 'merged' from now_),
+        every as (select article, ts, unnest(['kept', 'removed', 'added', 'merged']) as name from revisions)
+        select every.article, every.ts, every.name,
+               case when target is not null then cast(row_number() over (
+                 partition by every.article, every.ts, every.name order by target, cnt) - 1 as integer) end as at,
+               target, cnt
+        from every left join c using (article, ts, name)"""),
     "distinct_links": f"""with {_EVENTS}
         select article, target, cnt, min(rev_id) as valid_from from links group by 1, 2, 3""",
     "min_ts_filter": f"""with {_EVENTS}
@@ -181,16 +229,37 @@ ORACLES = {
     "link_total_counts": f"""with {_PAGE_TARGETS}
         select page_id, target, anchors + mentions as cnt from counted""",
     "page_links_grouped": f"""with {_PAGE_TARGETS}
-        select {_TITLE} as title, count(target) as n_targets,
-               cast(coalesce(sum(anchors + mentions), 0) as bigint) as total
-        from pages left join counted on counted.page_id = pages.page_id and pages.page_id % 10 <> 9
-        group by pages.page_id, html""",
+        select {_TITLE} as title,
+               case when target is not null then cast(row_number() over (
+                 partition by pages.page_id order by encode(target)) - 1 as integer) end as at,
+               target, anchors + mentions as cnt
+        from pages left join counted on counted.page_id = pages.page_id and pages.page_id % 10 <> 9""",
+    "links_title": f"""with {_WILD}
+        select page_title, target, cast(1 as integer) as cnt from wild
+        where target not like 'User:%' and target not like 'User talk:%'""",
+    "link_title_counts": f"""with {_WILD},
+        targets as (
+          select page_id, target, count(*) as anchors, any_value(html) as html from wild
+          where target not like 'User:%' and target not like 'User talk:%' and target not like 'Talk:%'
+            and target not like '/%' and length(target) < 256 and target <> ''
+          group by 1, 2),
+        counted as (
+          select page_id, target, anchors, cast((length(rest) - length(replace(rest, target, ''))) / length(target)
+                   as bigint) as mentions
+          from (select *, regexp_replace(html, '<a href="[^"]*">[^<]*</a>', '', 'g') as rest from targets))
+        select page_id, target, anchors, mentions, anchors + mentions as cnt from counted""",
+    "wikitext_hidden": """
+        select conv_id, turn, target, cast(1 as bigint) as anchors, mentions, 1 + mentions as cnt from (
+          select conv_id, turn, role as target, cast((length(rest) - length(replace(rest, role, ''))) / length(role)
+                   as bigint) as mentions
+          from (select conv_id, turn, role, ' <nowiki>' || role || '</nowiki>  [[Open and ' || role as rest
+                from conversations))""",
     "title_entities": f"""
         select page_id, replace(replace({_TITLE}, '&quot;', '"'), '&amp;', '&') as title from pages""",
     "file_keys": f"select page_id, regexp_replace({_TITLE}, '\\s', '', 'g') as file_key from pages",
     "page_slice": "select page_id, url from pages order by page_id limit 20 offset 10",
     "page_parse": f"with {_PAGE_TEXTS} {_PARSED}, page_id from page_texts",
-    "dump_pages": f"with {_PAGE_TEXTS} {_PARSED} from page_texts",
+    "dump_pages": f"with {_PLAIN_TEXTS} {_PARSED} from page_texts",
     "page_redirects": _REDIRECTS,
     "redirect_table": _REDIRECTS,
     "page_split": f"""
@@ -198,46 +267,33 @@ ORACLES = {
         from (select row_number() over (order by page_id) - 1 as n, {_TITLE} as title, html
               from pages)""",
     "tag_blocks": """
-        select unnest(regexp_extract_all(replace(html, chr(10), ' '), '<li>.*?</li>')) as block
-        from pages""",
+        with lines as (
+          select page_id, replace(html, chr(10), ' ') as line,
+                 coalesce(sum(strlen(html) + 1) over (
+                   order by page_id rows between unbounded preceding and 1 preceding), 0) as before
+          from pages),
+        pieces as (
+          select page_id, before, string_split(line, '</li>') as p from lines),
+        numbered as (
+          select before, p, unnest(range(1, len(p))) as k from pieces)
+        select substr(p[k], instr(p[k], '<li>')) || '</li>' as block,
+               cast(before + coalesce(list_sum(list_transform(p[1 : k - 1], lambda x: strlen(x) + 5)), 0)
+                 + strlen(substr(p[k], 1, instr(p[k], '<li>') - 1)) as bigint) as offset
+        from numbered where contains(p[k], '<li>')""",
     "dump_revisions": f"""with {_CONVERSATIONS}
         select article, rev_id, ts, md5(text) as text_md5 from conv where conv_id % 7 <> 0""",
     "wikitext_links": f"""with {_CONVERSATIONS}
         select article as page_title, word as target, cast(1 as integer) as cnt from conv
         where word <> ''
         union all select article, role, 1 from conv""",
-    "evolving_graph": f"""with {_CONVERSATIONS},
-        revisions as (select article, rev_id, ts from conv where conv_id % 7 <> 0),
-        linked as (
-          select article, rev_id, text, unnest([word, role]) as target from conv
-          where conv_id % 7 <> 0),
-        links as (
-          select article, rev_id, target, count(*) + any_value(cast(
-                   (length(rest) - length(replace(rest, target, ''))) / length(target) as bigint)) as cnt
-          from (select *, regexp_replace(text, '\\[\\[[^\\[\\]]*\\]\\]', '', 'g') as rest
-                from linked where target <> '')
-          group by 1, 2, 3)
-        {_RUNS} {_CLOSED}""",
-    "page_link_extract": f"""with {_PAGE_TEXTS},
-        texts as (select page_id, whole, title, case when whole then text else '' end as html
-                  from page_texts),
-        targets as (
-          select page_id, target, count(*) as anchors
-          from (select page_id, unnest(regexp_extract_all(html, '{_ANCHOR}', 1)) as target from texts)
-          where target not like 'User:%' and target not like 'User talk:%'
-            and target not like 'Talk:%' and target not like '/%'
-            and length(target) < 256 and target <> ''
-          group by 1, 2),
-        counted as (
-          select page_id, target, anchors + cast(
-                   (length(rest) - length(replace(rest, target, ''))) / length(target) as bigint) as cnt
-          from targets
-          join (select page_id, regexp_replace(html, '{_ANCHOR}', '', 'g') as rest from texts)
-          using (page_id))
-        select case when whole then title else '' end as title, count(target) as n_targets,
-               cast(coalesce(sum(cnt), 0) as bigint) as total
-        from texts left join counted using (page_id) group by page_id, whole, title""",
-    "flat_link_list": f"""with {_PAGE_TEXTS}
+    "evolving_graph": _graph(),
+    "evolving_graph_cutoff": _graph("and ts > timestamp '2020-01-01 00:01:00'"),
+    "page_link_extract": f"""with {_PLAIN_TEXTS}, {_PAGE_TARGETS}
+        select title, case when target is not null then cast(row_number() over (
+                 partition by page_texts.page_id order by encode(target)) - 1 as integer) end as at,
+               target, anchors + mentions as cnt
+        from page_texts left join counted using (page_id)""",
+    "flat_link_list": f"""with {_PLAIN_TEXTS}
         select page_title, target, cast(1 as integer) as cnt
         from (select title as page_title, unnest(regexp_extract_all(text, '{_ANCHOR}', 1)) as target
               from page_texts where whole)

@@ -1,4 +1,4 @@
-"""End-to-end jobs on dumps. Each is one plan per written table; nothing is collected."""
+"""End-to-end jobs on dumps. Intermediate tables are written to the staging folder; no data is collected."""
 
 from __future__ import annotations
 
@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from ..operators.edges import temporal_edges_from_arrays
 from ..operators.links import flat_links, page_links, with_link_counts
 from ..operators.pages import parse_pages, parse_pages_with_key, parse_redirects
-from ..operators.revisions import after
 from ..sinks.write import write_edges
 from ..sources.dump import scan_pages, scan_revisions
 from .sequence import HOT_ROWS
+from .staging import staging_scope
 
 Paths = str | Sequence[str]
 
@@ -36,8 +36,7 @@ def revision_links(
         )
         return counted.withColumn("links", pairs).drop("text")
 
-    revisions = scan_revisions(spark, path, project=narrow, name_regex=name_regex)
-    return after(revisions, min_ts) if min_ts is not None else revisions
+    return scan_revisions(spark, path, project=narrow, name_regex=name_regex, after=min_ts)
 
 
 def temporal_graph(
@@ -71,8 +70,9 @@ def write_temporal_graph(
     write: Callable[[DataFrame, str], None] = write_edges,
     **options,
 ) -> None:
-    """``temporal_graph`` written to ``output``."""
-    write(temporal_graph(spark, path, **options), output)
+    """``temporal_graph`` written to ``output``; staged tables are deleted then."""
+    with staging_scope(spark):
+        write(temporal_graph(spark, path, **options), output)
 
 
 def page_link_table(

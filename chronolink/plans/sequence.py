@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .staging import stage
@@ -37,9 +37,14 @@ def number_rows_checked(
     *,
     lead: Mapping[str, str] | None = None,
     hot_rows: int = HOT_ROWS,
+    weight: Column | None = None,
+    also: DataFrame | None = None,
 ) -> tuple[DataFrame, bool]:
     """As ``number_rows``, with a flag saying whether any key has more than ``hot_rows`` rows.
 
+    ``weight`` is what a row counts where it stands for several, as with an array that is taken apart later;
+    rows of ``also``, which are joined to the numbered ones later, count too.
+
     The check is one pre-aggregated count that brings a single number to the driver. ``df`` is
     evaluated more than once, so hand over a table or a staged result, not a dump scan.
     """
@@ -47,7 +52,10 @@ def number_rows_checked(
     if not keys:
         return _number_by_range(df, [], order, lead), True
 
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    counted = df.select(*keys, (F.lit(1) if weight is None else weight).cast("long").alias("_rows"))
+    if also is not None:
+        counted = counted.unionByName(also.select(*keys, F.lit(1).cast("long").alias("_rows")))
+    sizes = counted.groupBy(*keys).agg(F.sum("_rows").alias("_rows"))
     largest = sizes.agg(F.max("_rows")).first()[0] or 0
     if largest <= hot_rows:
         return _number_by_window(df, keys, order, lead), False

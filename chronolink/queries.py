@@ -18,6 +18,8 @@ from .sinks.write import split_pages, write_edges
 from .sources import dump
 
 EPOCH = "2020-01-01 00:00:00"
+# So few rows make an article hot in the queries of the hot branch.
+HOT = 5
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -97,27 +99,44 @@ def revisions_grouped(spark, sf_dir):
     return R.group_revisions(event_revisions(spark, sf_dir))
 
 
-def article_history(spark, sf_dir):
+def temporal_edges_hot(spark, sf_dir):
+    """Every article cut into ranges and slices."""
+    revisions, links = event_revisions(spark, sf_dir), event_links(spark, sf_dir)
+    return E.temporal_edges(revisions, links, hot_rows=HOT)
+
+
+def article_history(spark, sf_dir, **options):
     rev_links = (
         event_links(spark, sf_dir)
         .groupBy("article", "rev_id")
-        .agg(F.collect_list(F.struct("target", "cnt")).alias("links"))
+        .agg(F.sort_array(F.collect_list(F.struct("target", "cnt"))).alias("links"))
         .withColumn("ts", F.col("rev_id"))
     )
-    parts = R.article_history(rev_links, part_size=10)
-    revs = F.col("revisions")
-    return parts.select(
+    parts = R.article_history(rev_links, part_size=10, **options)
+    revisions = parts.select(
+        "article", "part", "first_pos", "last_pos", F.posexplode("revisions").alias("at", "revision")
+    )
+    return revisions.select(
         "article",
         "part",
-        F.size(revs).cast("long").alias("n_revisions"),
-        F.get(revs, F.lit(0)).ts.alias("first_ts"),
-        F.get(revs, F.size(revs) - 1).ts.alias("last_ts"),
-        F.aggregate(revs, F.lit(0).cast("long"), lambda n, r: n + F.size(r.links)).alias("n_links"),
-    )
+        "first_pos",
+        "last_pos",
+        (F.col("first_pos") + F.col("at")).alias("pos"),
+        F.col("revision.ts").alias("ts"),
+        F.posexplode("revision.links").alias("link_at", "link"),
+    ).select("article", "part", "first_pos", "last_pos", "pos", "ts", "link_at", "link.*")
+
+
+def article_history_hot(spark, sf_dir):
+    return article_history(spark, sf_dir, hot_rows=HOT)
 
 
-def _event_changes(spark, sf_dir):
-    return R.link_changes(event_revisions(spark, sf_dir), event_links(spark, sf_dir))
+def _event_changes(spark, sf_dir, **options):
+    return R.link_changes(event_revisions(spark, sf_dir), event_links(spark, sf_dir), **options)
+
+
+def link_changes_hot(spark, sf_dir):
+    return _event_changes(spark, sf_dir, hot_rows=HOT).drop("rev_id")
 
 
 def delta_kept(spark, sf_dir):
@@ -138,11 +157,13 @@ def delta_merged(spark, sf_dir):
 
 def link_delta(spark, sf_dir):
     sets = R.link_delta(event_revisions(spark, sf_dir), event_links(spark, sf_dir))
-    sizes = [
-        F.size(name).cast("long").alias(f"n_{name}")
-        for name in ("kept", "removed", "added", "merged")
-    ]
-    return sets.select("article", "ts", *sizes)
+    # One row per array and element; an empty array keeps a row, so that no revision can be lost.
+    names = ("kept", "removed", "added", "merged")
+    arrays = F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("links")) for n in names])
+    each = sets.select("article", "ts", F.explode(arrays).alias("set"))
+    return each.select(
+        "article", "ts", F.col("set.name").alias("name"), F.posexplode_outer("set.links").alias("at", "link")
+    ).select("article", "ts", "name", "at", "link.target", "link.cnt")
 
 
 def distinct_links(spark, sf_dir):
@@ -160,6 +181,12 @@ def edge_sink_roundtrip(spark, sf_dir):
     return spark.read.parquet(path).drop("bucket")
 
 
+def edge_article_sink(spark, sf_dir):
+    path = new_path(spark, "article-edges")
+    write_edges(temporal_edges(spark, sf_dir), path, layout="article", format="text")
+    return spark.read.text(path).select("value")
+
+
 def edge_text_sink(spark, sf_dir):
     path = new_path(spark, "edge-lines")
     write_edges(temporal_edges(spark, sf_dir), path, format="text", buckets=16)
@@ -219,11 +246,53 @@ def link_total_counts(spark, sf_dir):
 def page_links_grouped(spark, sf_dir):
     # Every tenth page has no text, so its row must stay with no links.
     text = F.when(F.col("page_id") % 10 != 9, F.col("text"))
-    grouped = L.page_links(html_pages(spark, sf_dir).withColumn("text", text), kind="text")
-    total = F.aggregate("links", F.lit(0).cast("long"), lambda n, r: n + r.cnt)
-    return grouped.select(
-        "title", F.size("links").cast("long").alias("n_targets"), total.alias("total")
+    return _link_rows(L.page_links(html_pages(spark, sf_dir).withColumn("text", text), kind="text"))
+
+
+def _link_rows(grouped: DataFrame) -> DataFrame:
+    """One row per target with its position; a page without links keeps a row."""
+    rows = grouped.select("title", F.posexplode_outer("links").alias("at", "link"))
+    return rows.select("title", "at", "link.target", "link.cnt")
+
+
+# Anchors as they are found in the wild: the title in an attribute, either quotes, any case, labels with
+# markup, outside links.
+
+
+def _titled_pages(spark, sf_dir):
+    pages = html_pages(spark, sf_dir)
+    wild = F.element_at(
+        F.array(
+            F.lit('<a href="$1" title="$2">$2</a>'),
+            F.lit("<A HREF='$1' Title='$2'><b>$2</b> <i>more</i></A>"),
+            F.lit('<a\nclass="external free" href="$1" title="$2">$2</a>'),
+            F.lit('<a title = "Talk:$2" href="$1">$2</a>'),
+            F.lit("<a href='$1'>no title</a>"),
+        ),
+        (F.col("page_id") % 5 + 1).cast("int"),
     )
+    plain = F.lit('<a href="([^"]*)">([^<]*)</a>')
+    return pages.withColumn("text", F.regexp_replace("text", plain, wild))
+
+
+def links_title(spark, sf_dir):
+    return L.flat_links(_titled_pages(spark, sf_dir), kind="title")
+
+
+def link_title_counts(spark, sf_dir):
+    counted = L.with_link_counts(_titled_pages(spark, sf_dir), kind="title")
+    return counted.select("page_id", F.inline("links"))
+
+
+def wikitext_hidden(spark, sf_dir):
+    """Links beside comments, inside ``nowiki`` and without an end."""
+    role = F.col("role")
+    text = F.concat(
+        F.lit("[["), role, F.lit("]] <!-- [["), role, F.lit("]] "), role, F.lit(" --> <nowiki>[["), role,
+        F.lit("]]</nowiki> [[file:x.png|thumb]] [[Open and "), role,
+    )
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", text.alias("text"))
+    return L.with_link_counts(turns).select("conv_id", "turn", F.inline("links"))
 
 
 def title_entities(spark, sf_dir):
@@ -239,8 +308,8 @@ def page_slice(spark, sf_dir):
     return slice_pages(pages, ["page_id"], skip=10, take=20)
 
 
-def _page_blocks(spark, sf_dir):
-    """Pages as <page> blocks: titles of four kinds, redirects, and every tenth without text."""
+def _page_blocks(spark, sf_dir, *, odd: bool = False):
+    """Pages as <page> blocks with titles of four kinds; ``odd``: with redirects, and every tenth without text."""
     kind = F.element_at(
         F.array(*[F.lit(p) for p in ("", "Category:", "File:", "Template:")]),
         (F.col("page_id") % 4 + 1).cast("int"),
@@ -249,18 +318,18 @@ def _page_blocks(spark, sf_dir):
     rows = html_pages(spark, sf_dir).select(
         "page_id",
         F.concat(kind, F.col("title")).alias("title"),
-        F.when(F.col("page_id") % 5 == 0, redirect).otherwise(F.col("text")).alias("text"),
+        F.when((F.col("page_id") % 5 == 0) & F.lit(odd), redirect).otherwise(F.col("text")).alias("text"),
         F.col("page_id").alias("rev_id"),
         F.lit(EPOCH).cast("timestamp_ntz").alias("ts"),
     )
     head = page_head(F.col("title"), F.col("page_id"), F.lit(None).cast("string"))
     whole = F.concat(head, revision_xml(), F.lit("  </page>"))
-    block = F.when(F.col("page_id") % 10 != 9, whole).otherwise(F.concat(head, F.lit("  </page>")))
+    block = F.when((F.col("page_id") % 10 != 9) | ~F.lit(odd), whole).otherwise(F.concat(head, F.lit("  </page>")))
     return rows.select("page_id", block.alias("block"))
 
 
 def page_parse(spark, sf_dir):
-    pages = P.parse_pages_with_key(_page_blocks(spark, sf_dir))
+    pages = P.parse_pages_with_key(_page_blocks(spark, sf_dir, odd=True))
     return pages.select(
         "page_id",
         "title",
@@ -272,7 +341,7 @@ def page_parse(spark, sf_dir):
 
 
 def page_redirects(spark, sf_dir):
-    return P.parse_redirects(P.parse_pages(_page_blocks(spark, sf_dir)))
+    return P.parse_redirects(P.parse_pages(_page_blocks(spark, sf_dir, odd=True)))
 
 
 def page_split(spark, sf_dir):
@@ -288,15 +357,15 @@ def page_split(spark, sf_dir):
 
 def tag_blocks(spark, sf_dir):
     path = new_path(spark, "html")
-    _table(spark, sf_dir, "pages").select(
-        F.regexp_replace("html", "\n", " ").alias("value")
-    ).write.text(path)
-    return dump.scan_blocks_with_offset(spark, path, "<li>", "</li>").select("block")
+    # One file in a fixed order, so that offsets can be told in SQL, too.
+    rows = _table(spark, sf_dir, "pages").select("page_id", F.regexp_replace("html", "\n", " ").alias("value"))
+    rows.repartitionByRange(1, "page_id").sortWithinPartitions("page_id").select("value").write.text(path)
+    return dump.scan_blocks(spark, path, "<li>", "</li>").select("block", "offset")
 
 
-def _page_dump(spark, sf_dir):
+def _page_dump(spark, sf_dir, **options):
     path = new_path(spark, "pages")
-    write_dump(_page_blocks(spark, sf_dir).withColumnRenamed("block", "value"), path)
+    write_dump(_page_blocks(spark, sf_dir, **options).withColumnRenamed("block", "value"), path)
     return path
 
 
@@ -309,15 +378,11 @@ def dump_pages(spark, sf_dir):
 
 
 def page_link_extract(spark, sf_dir):
-    table = jobs.page_link_table(spark, _page_dump(spark, sf_dir), kind="text")
-    total = F.aggregate("links", F.lit(0).cast("long"), lambda n, r: n + r.cnt)
-    return table.select(
-        "title", F.size("links").cast("long").alias("n_targets"), total.alias("total")
-    )
+    return _link_rows(jobs.page_link_table(spark, _page_dump(spark, sf_dir), kind="text"))
 
 
 def redirect_table(spark, sf_dir):
-    return jobs.redirect_table(spark, _page_dump(spark, sf_dir))
+    return jobs.redirect_table(spark, _page_dump(spark, sf_dir, odd=True))
 
 
 def flat_link_list(spark, sf_dir):
@@ -347,15 +412,18 @@ def conversation_revisions(spark, sf_dir):
 
 
 def _history_dump(spark, sf_dir):
+    """Two folders: even conversations compressed, odd ones plain. Returns a glob for both."""
     path = new_path(spark, "history")
-    pages = history_pages(conversation_revisions(spark, sf_dir))
-    write_dump(pages, path, compression="bzip2")
-    return path
+    revisions = conversation_revisions(spark, sf_dir)
+    for part, compression in ((0, "bzip2"), (1, "none")):
+        pages = history_pages(revisions.filter(F.col("page_id") % 2 == part))
+        write_dump(pages, f"{path}/part{part}", compression=compression)
+    return f"{path}/part*"
 
 
 def dump_revisions(spark, sf_dir):
     path = _history_dump(spark, sf_dir)
-    revisions = dump.scan_revisions(spark, path, name_regex=r"^part-.*\.bz2$")
+    revisions = dump.scan_revisions(spark, path, name_regex=r"^part-.*\.(bz2|txt)$")
     return revisions.select("article", "rev_id", "ts", F.md5("text").alias("text_md5"))
 
 
@@ -368,26 +436,34 @@ def evolving_graph(spark, sf_dir):
     return jobs.temporal_graph(spark, _history_dump(spark, sf_dir))
 
 
+def evolving_graph_cutoff(spark, sf_dir):
+    return jobs.temporal_graph(spark, _history_dump(spark, sf_dir), min_ts="2020-01-01 00:01:00")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         temporal_edges,
         temporal_edges_open,
+        temporal_edges_hot,
         temporal_edges_arrays,
         temporal_edges_orders,
         edge_lines,
         revision_order,
         revisions_grouped,
         article_history,
+        article_history_hot,
         delta_kept,
         delta_removed,
         delta_added,
         delta_merged,
+        link_changes_hot,
         link_delta,
         distinct_links,
         min_ts_filter,
         edge_sink_roundtrip,
         edge_text_sink,
+        edge_article_sink,
         links_flat,
         links_strict,
         link_anchor_counts,
@@ -395,6 +471,9 @@ QUERIES = {
         link_mention_counts_text,
         link_total_counts,
         page_links_grouped,
+        links_title,
+        link_title_counts,
+        wikitext_hidden,
         title_entities,
         file_keys,
         page_slice,
@@ -406,6 +485,7 @@ QUERIES = {
         dump_revisions,
         wikitext_links,
         evolving_graph,
+        evolving_graph_cutoff,
         page_link_extract,
         redirect_table,
         flat_link_list,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import escape_xml
+from ..functions.text import escape_xml, iso_seconds
 from ..plans.sequence import HOT_ROWS, number_rows
 
 # Revisions per <page> element; a longer history goes on in a further element of the same title.
@@ -18,8 +18,8 @@ def revision_xml() -> Column:
         F.lit("    <revision><id>"),
         F.col("rev_id").cast("string"),
         F.lit("</id><timestamp>"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"),
-        F.lit('</timestamp>\n      <text xml:space="preserve">'),
+        iso_seconds("ts"),
+        F.lit('Z</timestamp>\n      <text xml:space="preserve">'),
         escape_xml("text"),
         F.lit("</text></revision>\n"),
     )

@@ -39,21 +39,20 @@ def write_edges(
     """Write edges.
 
     ``layout="bucket"`` hashes articles into ``buckets`` folders. ``layout="article"`` makes one
-    folder per file key (the title without whitespace), for a limited number of articles.
-    ``format="parquet"`` keeps columns, ``"text"`` writes ``[from,to] target count`` lines, in
-    buckets with the article and a tab in front.
+    folder per file key (the title without whitespace), for a limited number of articles; articles
+    that differ in whitespace only share a folder. ``format="parquet"`` keeps columns, ``"text"`` writes
+    ``[from,to] target count`` lines with the article and a tab in front, in either layout.
     """
+    line = F.concat(F.col("article").cast("string"), F.lit("\t"), edge_line())
     if layout == "bucket":
         rows, folder = bucketed_edges(edges, buckets), "bucket"
-        line = F.concat("article", F.lit("\t"), edge_line())
     elif layout == "article":
         folder = "file_key"
         rows = (
-            edges.withColumn(folder, file_key("article"))
+            edges.withColumn(folder, file_key(F.col("article").cast("string")))
             .hint("rebalance", folder)
             .sortWithinPartitions(folder, "article", "valid_to", "target", "cnt")
         )
-        line = edge_line()
     else:
         raise ValueError(f"layout must be 'bucket' or 'article', not {layout!r}")
     if format == "text":

@@ -28,6 +28,10 @@ TITLE = r"<title>([^<]*)</title>"
 REVISION_SCHEMA = "id STRING, timestamp STRING, text STRING, _corrupt_record STRING"
 # Fixed value: extensions the text reader decompresses.
 COMPRESSED = r"\.(bz2|gz|deflate|lz4|snappy|zst|xz)$"
+# Fixed value: bytes of the mark that may stand at the start of a file. The reader takes it away.
+MARK_BYTES = 3
+# Rows of a split that are looked at together. A compressed file may be one split.
+SPLIT_ROWS = 1 << 12
 
 Paths = str | Sequence[str]
 
@@ -60,44 +64,45 @@ def scan_blocks(
     *,
     name_regex: str | None = None,
 ) -> DataFrame:
-    """Every block from start to end tag, tags included: ``(file, split, pos, block)``.
+    """Every block from start to end tag, tags included: ``(file, offset, block)``.
 
-    One narrow pass; ``(file, split, pos)`` orders the blocks. A last block that the end of the file
-    cuts off gets its end tag here; ``scan_blocks_with_offset`` leaves it out.
-    """
-    chunks = read_chunks(spark, path, end_tag, name_regex=name_regex)
-    return chunks.filter(F.contains("chunk", F.lit(start_tag))).select(
-        "file", "split", "pos", _block(start_tag, end_tag).alias("block")
-    )
-
-
-def scan_blocks_with_offset(
-    spark: SparkSession,
-    path: Paths,
-    start_tag: str,
-    end_tag: str,
-    *,
-    name_regex: str | None = None,
-) -> DataFrame:
-    """``scan_blocks`` keyed by ``offset``, the byte position of the start tag: ``(file, offset, block)``.
+    ``offset`` is the byte position of the start tag, in the unpacked text where a file is compressed.
+    A block goes from the first start tag after the block before to the next end tag, so a start tag may come
+    again inside. What has no end tag, such as the last block of a file that was cut off, is no block; this
+    is the same for plain, compressed and marked files. Only the byte order mark of a compressed file is not
+    counted, as nothing tells of it.
 
-    For compressed files it is the position in the unpacked text. In plain files a last block that
-    the end of the file cuts off is left out. Bytes before a split are only known once all splits
-    are read, so the chunks are staged and the scan is not repeated.
+    Bytes before a split are only known once all splits are read, so the text is staged once. Positions are
+    worked out on rows without text, and each text then travels once to its position.
     """
     chunks = stage(
-        read_chunks(spark, path, end_tag, name_regex=name_regex)
+        read_chunks(spark, path, start_tag, name_regex=name_regex)
         .withColumn("_bytes", F.octet_length("chunk").cast("long"))
-        .withColumn("_opens", F.contains("chunk", F.lit(start_tag))),
+        .withColumn("_ends", F.contains("chunk", F.lit(end_tag)))
+        .withColumn("part", _part()),
         "chunks",
     )
-    placed = _with_byte_position(chunks, end_tag)
-    ahead = F.octet_length(F.substring_index("chunk", start_tag, 1))
-    return placed.filter(F.col("_opens") & ~_cut_off()).select(
-        "file",
-        (F.col("_position") + ahead).alias("offset"),
-        _block(start_tag, end_tag).alias("block"),
+    placed = stage(_with_places(chunks.drop("chunk"), len(start_tag.encode())), "places")
+    # What precedes the first start tag of a file is no part of a block.
+    placed = placed.filter("_before > 0").select("file", "pos", "_offset", "_run", "_alone", "_ends")
+    rows = chunks.select("file", "pos", "chunk").join(placed, ["file", "pos"])
+    inner = F.substring_index("chunk", end_tag, 1)
+    alone = rows.filter("_alone and _ends").select("file", F.col("_offset").alias("offset"), inner.alias("inner"))
+    # Start tags inside a block: their pieces are put together up to the end tag.
+    piece = F.struct("pos", "_offset", inner.alias("inner"), "_ends")
+    joined = (
+        rows.filter("not _alone")
+        .groupBy("file", "_run")
+        .agg(F.sort_array(F.collect_list(piece)).alias("pieces"))
+        .filter(F.element_at("pieces", -1)["_ends"])
+        .select(
+            "file",
+            F.element_at("pieces", 1)["_offset"].alias("offset"),
+            F.array_join(F.transform("pieces", lambda p: p.inner), start_tag).alias("inner"),
+        )
     )
+    block = F.concat(F.lit(start_tag), "inner", F.lit(end_tag))
+    return alone.unionByName(joined).select("file", "offset", block.alias("block"))
 
 
 def scan_pages(
@@ -118,8 +123,8 @@ def scan_pages(
 def scan_pages_with_offset(
     spark: SparkSession, path: Paths, *, name_regex: str | None = None
 ) -> DataFrame:
-    """Page blocks keyed by byte position: ``(file, offset, block)``."""
-    return scan_blocks_with_offset(spark, path, PAGE, PAGE_END, name_regex=name_regex)
+    """Page blocks keyed by byte position: ``(file, offset, block)``; see ``scan_blocks``."""
+    return scan_blocks(spark, path, PAGE, PAGE_END, name_regex=name_regex)
 
 
 def scan_revisions(
@@ -129,6 +134,7 @@ def scan_revisions(
     project: Callable[[DataFrame], DataFrame] | None = None,
     name_regex: str | None = None,
     keep_redirects: bool = False,
+    after: str | None = None,
 ) -> DataFrame:
     """Every revision of a history dump: ``(article, rev_id, ts, text, corrupt)``.
 
@@ -136,10 +142,13 @@ def scan_revisions(
     the start of the page, maybe splits away: it is carried forward from the last page header.
     Pages with a redirect tag ahead of their first revision are skipped. ``ts`` is UTC wall-clock
     time. A malformed revision keeps its XML in ``corrupt`` and has null fields; one that the end of
-    the file cuts off is left out.
+    the file cuts off is left out. With ``after`` only revisions later than it are returned.
 
     ``project`` may replace ``text`` by something narrower, such as links. It runs in the scan
-    task, before rows are staged and shuffled, and must keep all other columns.
+    task, before rows are staged and shuffled, and must keep all other columns. It sees no text of
+    revisions that ``after`` leaves out.
+
+    The result is a written table, so what is built on it does not scan again.
     """
     chunks = read_chunks(spark, path, REVISION, name_regex=name_regex)
     own = F.substring_index("_tail", PAGE, -1)
@@ -170,47 +179,71 @@ def scan_revisions(
         F.col("_rev.text").alias("text"),
         F.col("_rev._corrupt_record").alias("corrupt"),
     )
-    staged = stage(project(parsed) if project else parsed, "revisions")
+    if after is not None:
+        late = F.coalesce(F.col("ts") > F.lit(after).cast("timestamp_ntz"), F.lit(False))
+        parsed = parsed.withColumns({"_whole": F.col("_whole") & late, "text": F.when(late, F.col("text"))})
+    staged = stage((project(parsed) if project else parsed).withColumn("part", _part()), "revisions")
     kept = F.col("_whole") & F.col("_page").isNotNull()
     if not keep_redirects:
         kept &= ~F.col("_page.redirect")
-    helpers = {"file", "split", "pos", "_whole", "_page_after"}
+    helpers = {"file", "split", "part", "pos", "_whole", "_page_after"}
     payload = [c for c in staged.columns if c not in helpers]
-    return (
-        _with_page(staged)
-        .filter(kept)
-        .select(unescape_xml("_page.title").alias("article"), *payload)
-    )
+    titled = _with_page(staged).filter(kept).select(unescape_xml("_page.title").alias("article"), *payload)
+    return stage(titled, "titled-revisions")
 
 
-def _block(start_tag, end_tag):
-    at = F.locate(start_tag, F.col("chunk"))
-    return F.concat(F.substring("chunk", at, F.length("chunk")), F.lit(end_tag))
+# What precedes a chunk is put together in two steps: a window inside each part of a split, and one row
+# per part, along its file, for what the parts before it add. Parts are bounded, also where a compressed
+# file is a single split.
+_PART = ["file", "split", "part"]
 
 
-# What precedes a chunk is put together in two steps: a window inside each split, and one row per
-# split, along its file, for what the splits before it add.
-_SPLIT = ["file", "split"]
+def _part():
+    """Number of the part of a split; the low 33 bits of ``pos`` count the rows of a task."""
+    row = F.col("pos").bitwiseAND(F.lit((1 << 33) - 1))
+    return F.floor(row / SPLIT_ROWS).cast("int")
 
 
 def _windows():
-    inside = Window.partitionBy(*_SPLIT).orderBy("pos")
-    along = Window.partitionBy("file").orderBy("split")
+    inside = Window.partitionBy(*_PART).orderBy("pos")
+    along = Window.partitionBy("file").orderBy("split", "part")
     return tuple(w.rowsBetween(Window.unboundedPreceding, -1) for w in (inside, along))
 
 
-def _with_byte_position(chunks: DataFrame, tag: str) -> DataFrame:
-    """Add ``_position``, the byte position of the chunk in its unpacked file."""
+def _with_places(chunks: DataFrame, tag_bytes: int) -> DataFrame:
+    """Add the place of each chunk in its unpacked file.
+
+    ``_before`` counts the chunks before it, ``_offset`` the bytes before the tag it follows, ``_run`` the chunks
+    before it that have an end tag. ``_alone`` says that no other chunk is in its run.
+    """
     inside, along = _windows()
-    length = F.col("_bytes") + len(tag.encode())
-    splits = chunks.groupBy(*_SPLIT).agg(F.sum(length).alias("_total"))
-    splits = splits.select(*_SPLIT, F.sum("_total").over(along).alias("_before"))
-    position = F.coalesce("_before", F.lit(0)) + F.coalesce("_inside", F.lit(0))
+    one, ends = F.lit(1).cast("long"), F.col("_ends").cast("long")
+    sums = {"_before": one, "_length": F.col("_bytes") + tag_bytes, "_run": ends}
+    parts = chunks.groupBy(*_PART).agg(
+        *[F.sum(v).alias(n) for n, v in sums.items()], F.max("file_size").alias("file_size")
+    )
+    # Text and tags of a plain file are all its bytes, but for a mark at its start.
+    whole = F.sum("_length").over(Window.partitionBy("file")) - tag_bytes
+    marked = (F.col("file_size") - whole == MARK_BYTES) & ~F.col("file").rlike(COMPRESSED)
+    carried = parts.select(
+        *_PART,
+        *[F.coalesce(F.sum(n).over(along), F.lit(0)).alias(f"{n}_carried") for n in sums],
+        F.when(marked, MARK_BYTES).otherwise(0).alias("_mark"),
+    )
+    placed = chunks.withColumns({n: F.coalesce(F.sum(v).over(inside), F.lit(0)) for n, v in sums.items()}).join(
+        carried, _PART
+    )
+    placed = placed.withColumns({n: F.col(n) + F.col(f"{n}_carried") for n in sums})
+    near = Window.partitionBy(*_PART).orderBy("pos")
+    # A chunk is alone if it ends and the one before it ends or stands at the start of the file. At the start of a
+    # part that is told by the part before.
+    previous = F.coalesce(F.lag("_ends").over(near), F.col("_ended"))
+    last = chunks.groupBy(*_PART).agg(F.max_by("_ends", "pos").alias("_last"))
+    last = last.select(*_PART, F.lag("_last").over(Window.partitionBy("file").orderBy("split", "part")).alias("_ended"))
     return (
-        chunks.withColumn("_inside", F.sum(length).over(inside))
-        .join(splits, _SPLIT)
-        .withColumn("_position", position)
-        .drop("_before", "_inside")
+        placed.join(last, _PART)
+        .withColumn("_offset", F.col("_length") - tag_bytes + F.col("_mark"))
+        .withColumn("_alone", F.col("_ends") & ((F.col("_before") == 1) | F.coalesce(previous, F.lit(False))))
     )
 
 
@@ -218,17 +251,11 @@ def _with_page(chunks: DataFrame) -> DataFrame:
     """Add ``_page``, the nearest page head in the chunks before."""
     inside, along = _windows()
     at = F.when(F.col("_page_after").isNotNull(), F.col("pos"))
-    splits = chunks.groupBy(*_SPLIT).agg(F.max_by("_page_after", at).alias("_last"))
-    splits = splits.select(*_SPLIT, F.last("_last", True).over(along).alias("_carried"))
+    splits = chunks.groupBy(*_PART).agg(F.max_by("_page_after", at).alias("_last"))
+    splits = splits.select(*_PART, F.last("_last", True).over(along).alias("_carried"))
     return (
         chunks.withColumn("_near", F.last("_page_after", True).over(inside))
-        .join(splits, _SPLIT)
+        .join(splits, _PART)
         .withColumn("_page", F.coalesce("_near", "_carried"))
         .drop("_near", "_carried")
     )
-
-
-def _cut_off():
-    """The chunk reaches the end of a plain file: no end tag follows."""
-    reaches_end = F.col("_position") + F.col("_bytes") == F.col("file_size")
-    return reaches_end & ~F.col("file").rlike(COMPRESSED)

@@ -151,15 +151,31 @@ def test_blocks_and_offsets(spark, tmp_path, small_splits, extension):
     assert [r.block for r in plain.collect()] == [b for _, b in want]
 
 
-def test_any_tag(spark, tmp_path):
-    put(tmp_path, "h.xml", "x<li>1</li>y<li>two <li>2</li></li>\n<li>cut")
-    blocks = dump.scan_blocks_with_offset(spark, str(tmp_path), "<li>", "</li>")
-    assert sorted(map(tuple, blocks.select("offset", "block").collect())) == [
-        (1, "<li>1</li>"),
-        (12, "<li>two <li>2</li>"),
-    ]
-    plain = dump.scan_blocks(spark, str(tmp_path), "<li>", "</li>").orderBy("pos").collect()
-    assert [r.block for r in plain] == ["<li>1</li>", "<li>two <li>2</li>", "<li>cut</li>"]
+TAGGED = "x</li>y<li>1</li>é<li>two <li>2</li></li>\n<li>3<li>4</li> <li>open <li>cut"
+TAGGED_BLOCKS = [
+    ("<li>1</li>", 7), ("<li>two <li>2</li>", 19), ("<li>3<li>4</li>", 43)
+]
+
+
+@pytest.mark.parametrize("extension", ["txt", "txt.gz", "txt.bz2"])
+@pytest.mark.parametrize("mark", [b"", b"\xef\xbb\xbf"])
+def test_any_tag(spark, tmp_path, extension, mark):
+    raw = mark + TAGGED.encode()
+    pack = {"txt": bytes, "txt.gz": gzip.compress, "txt.bz2": bz2.compress}[extension]
+    (tmp_path / f"h.{extension}").write_bytes(pack(raw))
+    rows = dump.scan_blocks(spark, str(tmp_path), "<li>", "</li>").orderBy("offset").collect()
+    assert [r.block for r in rows] == [b for b, _ in TAGGED_BLOCKS]
+    counted = raw if extension == "txt" else raw.removeprefix(mark)
+    assert [r.offset for r in rows] == [counted.find(b.encode()) for b, _ in TAGGED_BLOCKS]
+
+
+@pytest.mark.parametrize("rows", [1, 2, 3, 1000])
+def test_blocks_across_parts(spark, tmp_path, monkeypatch, rows):
+    monkeypatch.setattr(dump, "SPLIT_ROWS", rows)
+    text = "".join(f"<b>{'<b>' * (k % 4)}{k}</b>{'</b>' * (k % 2)} " for k in range(50))
+    put(tmp_path, "h.xml", text + "<b>cut")
+    got = dump.scan_blocks(spark, str(tmp_path), "<b>", "</b>").select("offset", "block").collect()
+    assert sorted(map(tuple, got)) == [(m.start(), m[0]) for m in re.finditer("<b>.*?</b>", text)]
 
 
 def test_staged_rows_survive_other_split_sizes(spark, tmp_path):

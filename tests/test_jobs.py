@@ -97,3 +97,20 @@ def test_staging_folder(spark):
     with pytest.raises(RuntimeError):
         staging.staging_root(Session(**{"spark.master": "yarn"}))
     assert staging.staging_root(Session(**{"spark.master": "local[2]"}))
+
+
+def test_written_job_leaves_nothing_staged(spark, tmp_path, monkeypatch):
+    from chronolink.plans import jobs, staging
+
+    monkeypatch.setattr(staging, "staging_root", lambda _: str(tmp_path / "staged"))
+    (tmp_path / "h.xml").write_text(
+        "<page><title>A</title>"
+        + "".join(
+            f"<revision><id>{k}</id><timestamp>2020-01-0{k}T00:00:00Z</timestamp><text>{'[[B]]' * (k == 1)}</text></revision>\n"
+            for k in (1, 2)
+        )
+        + "</page>\n"
+    )
+    jobs.write_temporal_graph(spark, str(tmp_path / "h.xml"), str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+    assert list((tmp_path / "staged").iterdir()) == []

@@ -107,4 +107,41 @@ def test_text_is_searched_once_per_row(spark):
     counted = L.with_link_counts(texts(spark, "[[A]]"))
     rows = counted.select("title", F.inline("links")).filter("cnt > 0 and target <> 'B'")
     plan = rows._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("-->") == 1 and plan.count("ArrowEvalPython") == 1 and "Exchange" not in plan
+    # Comments are cut once for the links and once for the rest, each in one of two branches; nothing
+    # leaves the JVM or the row.
+    assert plan.count("-->") == 4 and plan.count("\\Q") == 2
+    assert "Python" not in plan and "Exchange" not in plan
+
+
+def counts(spark, text, kind):
+    row = L.with_link_counts(texts(spark, text), kind=kind).first()
+    return [(r.target, r.anchors, r.mentions) for r in row.links]
+
+
+@pytest.mark.parametrize("kind", ["title", "text"])
+@pytest.mark.parametrize(
+    "anchor",
+    [
+        '<a href="/x" title="X1"><b>X1</b></a>',
+        "<a href='/x' title='X1'>X1</a>",
+        '<A HREF="/x" TITLE="X1">X1</A >',
+        '<a\nhref="/x"\ntitle = "X1">X<i>1</i></a>',
+    ],
+)
+def test_anchors_in_any_form_are_cut_out(spark, anchor, kind):
+    assert counts(spark, f"{anchor} end", kind) == [("X1", 1, 0)]
+    assert counts(spark, f"X1 {anchor} end X1", kind) == [("X1", 1, 2)]
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("x [[Foo]] <!-- Foo Foo -->", [("Foo", 1, 0)]),
+        ("x [[Foo]] <nowiki>[[Foo]] [[Bar]]</nowiki> Foo", [("Foo", 1, 2)]),
+        ("[[Foo y and Foo y", []),
+        ("[[category:Foo]] [[file:a.png|thumb]] [[IMAGE:b]] [[:Category:Foo]]", [("Category:Foo", 1, 0)]),
+        ("[[A#s|b]] [[A#s]] [[B|x [[C]] y]]", [("A", 2, 0), ("B", 1, 0), ("C", 1, 0)]),
+    ],
+)
+def test_hidden_and_unclosed_wikitext(spark, text, want):
+    assert counts(spark, text, "wikitext") == want

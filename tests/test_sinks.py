@@ -40,7 +40,14 @@ def test_text_lines(spark, edges, tmp_path):
     folders = {p.name for p in Path(single).iterdir() if p.is_dir()}
     assert len(folders) == edges.select("article").distinct().count()
     (row,) = spark.read.text(single).filter("file_key = 'AB/Ü'").collect()
-    assert row.value == "[2020-01-01T00:01:00,2020-01-01T00:02:00] X Y 1"
+    assert row.value == "A B/Ü\t[2020-01-01T00:01:00,2020-01-01T00:02:00] X Y 1"
+
+
+def test_articles_that_differ_in_spaces_stay_apart(spark, tmp_path):
+    histories = {"A B": [(1, at(1), {"X": 1}), (2, at(2), {})], "AB": [(3, at(3), {"X": 1}), (4, at(4), {})]}
+    df, path = temporal_edges(*frames(spark, histories)), str(tmp_path / "a")
+    W.write_edges(df, path, layout="article", format="text")
+    assert {r.value.split("\t")[0] for r in spark.read.text(path).collect()} == {"A B", "AB"}
 
 
 def test_existing_output_is_not_overwritten(edges, tmp_path):

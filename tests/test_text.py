@@ -54,10 +54,14 @@ def test_xml_entities(spark):
         ("A.B AxB", "A.B", 1),  # no pattern
         ("né né", "né", 2),
         ("", "x", 0),
+        (r"a\Eb \E a\Eb", r"\E", 3),
+        (r"a\Eb a\Eb", r"a\Eb", 2),
+        ("$1 \\ $1", "$1", 2),
+        ("abc", "", 0),
     ],
 )
 def test_literal_counts(spark, text, literal, want):
-    counts = T.literal_counts(F.col("t"), F.array("x", F.lit("no such")))
+    counts = T.literal_counts("t", F.array("x", F.lit("no such")))
     assert one(spark, counts, t=text, x=literal) == [want, 0]
 
 
@@ -91,5 +95,24 @@ def test_edge_line_and_utc_time(spark, zone):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_times_at_a_clock_change(spark, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.sql("select timestamp_ntz'2024-03-10 02:30:00' a, timestamp_ntz'2024-03-10 03:30:00.5' b")
+        line = df.select(T.edge_line("a", "b", F.lit("x"), F.lit(1))).first()[0]
+        assert line == "[2024-03-10T02:30:00,2024-03-10T03:30:00] x 1"
+        for text in ("2024-03-10T02:30:00", "2024-03-10 02:30:00Z", "2024-03-10T03:30:00+01:00"):
+            assert one(spark, T.utc_time(F.col("t")), t=text) == datetime(2024, 3, 10, 2, 30)
+        assert one(spark, T.utc_time(F.col("t")), t="2024-03-10") == datetime(2024, 3, 10)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize("text", ["&#65;", "&#00000065;", "&#x41;", "&#X000000041;"])
+def test_numbers_with_leading_zeros(spark, text):
+    assert one(spark, T.unescape_html("t"), t=text) == "A"
+
+
 def test_malformed_time_is_null(spark):
     assert one(spark, T.utc_time(F.col("t")), t="yesterday") is None
