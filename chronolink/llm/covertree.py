@@ -32,9 +32,9 @@ COSINE = 0.9
 #: Vectors that the tree is built on, leaves of the tree, vectors of a leaf that it is planned for.
 SAMPLE = 8192
 LEAVES = 1024
-LEAF_ROWS = 2048
+LEAF_ROWS = 4096
 #: Vectors of a part of a leaf, and centres of the tree inside a block.
-BLOCK = 2048
+BLOCK = 4096
 BLOCK_LEAVES = 32
 #: Distances are trusted to this; what is nearer to a bound is computed.
 SLACK = 1e-7
