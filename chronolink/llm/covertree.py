@@ -1,8 +1,8 @@
 """Near duplicates among embeddings: a cover tree, traversed against itself.
 
-On unit vectors cosine >= 0.9 is distance <= sqrt(0.2). A tree over a bounded sample has nested levels of centres with halving
-radii; every vector goes to the nearest leaf centre, and each node then gets the exact radius that covers all vectors
-under it. Two nodes are pruned as soon as their distance less both radii is above the limit. The pairs of leaves
+On unit vectors cosine >= 0.9 is distance <= sqrt(0.2). A tree over a bounded sample has nested levels of centres with
+halving radii; every vector goes to the nearest leaf centre, and each node then gets the exact radius that covers all
+vectors under it. Two nodes are pruned as soon as their distance less both radii is above the limit. The pairs of leaves
 that are left are compared in Spark, in blocks of bounded size; each block builds a tree of its own and the
 traversal goes on between the two trees. There, pairs of nodes that lie so close that all their vectors must be linked are
 taken as a whole, and for the rest cosines are computed in double precision. The sample decides which leaves there
@@ -248,12 +248,13 @@ def near_duplicates(
     """Per vector ``vec_id``, ``n_links``, ``component_id`` (smallest id reachable by links) and ``kept``.
 
     Vectors that are null, empty, zero or hold null or non-finite numbers are linked with nothing, and so are those of
-    another length than most or without an id. Rows that share an id are vectors of their own, named alike. An empty table gives an
-    empty table; other columns are ignored.
+    another length than most or without an id. Rows that share an id are vectors of their own, named alike. An empty
+    table gives an empty table; other columns are ignored.
     """
     spark = vectors.sparkSession
     plain = vectors.select(F.col(id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"))
-    plain = plain.withColumn("vector", F.when(F.expr("vec_id is not null and forall(vector, x -> x is not null)"), F.col("vector")))
+    usable = F.expr("vec_id is not null and forall(vector, x -> x is not null)")
+    plain = plain.withColumn("vector", F.when(usable, F.col("vector")))
     rows = stage(plain.mapInArrow(_prepare, "vec_id long, digest binary, v binary"), "vectors")
     lengths = rows.filter("v is not null").groupBy(F.octet_length("v").alias("l"))
     most = lengths.agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "l").limit(1).collect()

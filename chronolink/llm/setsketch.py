@@ -310,9 +310,9 @@ def _both(pairs: DataFrame, table: DataFrame, columns: list[str]) -> DataFrame:
 def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document ``doc_id``, ``n_shingles``, ``component_id`` (smallest id reachable by links) and ``kept``.
 
-    Ids are longs. A null or empty text, or one of white space, has no shingles and is linked with nothing, and
-    so is a row without an id. Rows that share an id are one document: what one of them is linked with, all are. An empty table gives an
-    empty table; other columns are ignored.
+    Ids are longs. A null or empty text, or one of white space, has no shingles and is linked with nothing, and so
+    is a row without an id. Rows that share an id are one document: what one of them is linked with, all are. An
+    empty table gives an empty table; other columns are ignored.
     """
     plain = docs.select(F.col(id).cast("long").alias("_id"), F.col(text).cast("binary").alias("_text"))
     feats = plain.mapInArrow(_features, "doc_id long, n long, digest binary, registers binary")
@@ -402,11 +402,14 @@ def _in_blocks(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
     part = F.pmod(F.xxhash64("node"), parts).cast("int")
     return (
         rows.select(
-            key, *[c for c in columns if c != "part"], part.alias("part"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("with")
+            key,
+            *[c for c in columns if c != "part"],
+            part.alias("part"),
+            F.explode(F.sequence(F.lit(0), parts - 1)).alias("with"),
         )
         .groupBy(key, F.least("part", "with").alias("lo"), F.greatest("part", "with").alias("hi"))
         .agg(F.collect_list(F.struct(*columns)).alias("members"))
-        .filter("size(members) > 1 and (lo = hi or exists(members, m -> m.part = lo) and exists(members, m -> m.part = hi))")
+        .filter("size(members) > 1 and exists(members, m -> m.part = lo) and exists(members, m -> m.part = hi)")
         .select("members")
     )
 
