@@ -38,8 +38,8 @@ FOLDS = 5
 
 #: Characters looked at together, counts held before they are passed on, word scores remembered by a worker.
 SPAN = 1 << 20
-HELD = 200_000
-REMEMBERED = 500_000
+HELD = 100_000
+REMEMBERED = 150_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 _GAP = re.compile(r"[\W\d_]")
@@ -83,7 +83,7 @@ def _count_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _count_grams(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: dict[str, Counter[str]] = {}
-    for batch in small(batches, 4096):
+    for batch in small(batches, 1024):
         for lang, word, n in zip(*(batch[c].to_pylist() for c in ("lang", "word", "n")), strict=True):
             own = counts.setdefault(lang, Counter())
             grams = [gram for size in GRAMS for gram in grams_of(word, size)]
@@ -227,17 +227,19 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text", keep: list[st
     spark = docs.sparkSession
     kept = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
     sent = spark.sparkContext.broadcast(model)
+    # A text that is returned is sent once; one that is not goes in front.
+    beside, at = text not in kept, kept.index(text) if text in kept else 0
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = _scores(sent)
         for batch in small(batches):
-            found = [scores.predict(t) for t in batch.column(0).to_pylist()]
-            arrays = batch.columns[1:]
+            found = [scores.predict(t) for t in batch.column(0 if beside else at).to_pylist()]
+            arrays = batch.columns[1:] if beside else batch.columns
             arrays += [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, [*kept, "lang_pred", "score"])
 
     schema = docs.select(*kept, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
-    return docs.select(F.col(text), *[F.col(c) for c in kept]).mapInArrow(run, schema)
+    return docs.select(*[F.col(c) for c in ([text] if beside else []) + kept]).mapInArrow(run, schema)
 
 
 _LAST: list = [None, None]
