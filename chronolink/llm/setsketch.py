@@ -57,7 +57,7 @@ class _Words(dict):
     """Hashes of the words a worker has met; emptied when full."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
+        if len(self) > 100_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
