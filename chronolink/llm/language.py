@@ -146,7 +146,7 @@ class _Scores(dict):
                 continue
             letter = letter or any(c.isalpha() for w in words for c in w)
             if len(self) > REMEMBERED:
-                self.__init__(self.model)
+                self.clear()
             rows = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
             total += self.rows[rows].sum(0)
             count += len(words)

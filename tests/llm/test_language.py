@@ -1,3 +1,5 @@
+import re
+
 import pytest
 
 from chronolink.llm import language
@@ -78,3 +80,12 @@ def test_accepted_keeps_columns_and_clean_rows(table):
     kept = language.accepted(table(rows, "doc_id long, text string, lang string, score string"))
     assert kept.columns == ["doc_id", "text", "lang", "score"]
     assert sorted(r["doc_id"] for r in kept.collect()) == list(range(10))
+
+
+def test_memory_of_words_may_run_full(model, monkeypatch):
+    texts = [f"the king word{k} of{k} " * 3 + " ".join(f"w{chr(97 + k)}{chr(97 + n)}" for n in range(26)) for k in range(26)]
+    texts = [re.sub("[0-9]+", lambda m: "abcdefghij"[int(m[0]) % 10], t) for t in texts]
+    want = [language._Scores(model).predict(t) for t in texts]
+    monkeypatch.setattr(language, "REMEMBERED", 40)
+    scores = language._Scores(model)
+    assert [scores.predict(t) for t in texts] == want
