@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronolink.functions.once import with_columns_once
 from chronolink.plans.staging import stage
 
 from .tables import read, small
@@ -257,14 +258,25 @@ def _scores(sent) -> _Scores:
 REJECT_BELOW = 0.3
 
 
-def accepted(docs: DataFrame) -> DataFrame:
-    """Documents whose language is known, with their own columns."""
-    model = fit(docs.filter(~held_out()))
-    names = {c: f"_c{n}" for n, c in enumerate(docs.columns)}  # clear of the columns that are added
+def accepted(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Documents whose language is known, with their own columns.
+
+    Only texts go to Python and only verdicts come back; the rows wait for them in the JVM.
+    """
+    model = fit(docs.filter(~held_out(id)), text=text)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def judge(texts: pa.Array) -> pa.Array:
+        scores, sure = _scores(sent), []
+        for at in range(0, len(texts), 256):
+            found = (scores.predict(t) for t in texts.slice(at, 256).to_pylist())
+            sure += [lang != UNKNOWN and score >= REJECT_BELOW for lang, score in found]
+        return pa.array(sure, pa.bool_())
+
+    names = {c: f"_c{n}" for n, c in enumerate(docs.columns)}  # clear of the column that is added
     named = docs.select(*[F.col(c).alias(n) for c, n in names.items()])
-    found = identify(named, model, text=names["text"])
-    sure = found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= REJECT_BELOW))
-    return sure.select(*[F.col(n).alias(c) for c, n in names.items()])
+    judged = with_columns_once(named, {"sure": F.arrow_udf(judge, "boolean")(F.col(names[text]))})
+    return judged.filter("sure").select(*[F.col(n).alias(c) for c, n in names.items()])
 
 
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
