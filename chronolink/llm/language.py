@@ -3,8 +3,9 @@
 Learning counts the words of all labelled training texts in Spark, and from the counted words the character
 n-grams of each length. A word is known if it makes up ``WORD_SHARE`` of the words of some language, an n-gram
 if it makes up ``GRAM_SHARE`` of the n-grams of its length. So a language has 1 / share entries at most, whatever
-the size of the corpus, and the model is small enough to go to every task. A language is learned if it has
-``LANGUAGE_SHARE`` of the training texts.
+the size of the corpus, and the model is small enough to go to every task. Every language that labels a text with a word
+is learned, however few texts it has. What a language does not have counts the same in each, as a part of the
+share, so that one with few words gains nothing from words it has never seen.
 
 A known word adds its log frequencies. For an unseen word the longest n-grams that are known decide, and each
 step down counts less.
@@ -30,7 +31,8 @@ from .tables import read, small
 UNKNOWN = "und"
 WORD_SHARE = 2e-5
 GRAM_SHARE = 5e-5
-LANGUAGE_SHARE = 1e-3
+#: Part of the share that an entry has in a language without it.
+UNSEEN = 1e-2
 GRAMS = (5, 4, 3, 2, 1)
 #: Weight of each step to shorter n-grams.
 BACKOFF = 0.7
@@ -140,7 +142,8 @@ class _Scores(dict):
         self.rows[k] = self.model.word(word)
         return k
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def _sums(self, text: str | None) -> tuple[np.ndarray, int, bool]:
+        """Log frequencies of all words per language, the number of words, and whether there is a letter."""
         total, count, letter = np.zeros(len(self.model.languages)), 0, False
         for words in words_of(text or ""):
             if not words:
@@ -151,6 +154,15 @@ class _Scores(dict):
             rows = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
             total += self.rows[rows].sum(0)
             count += len(words)
+        return total, count, letter
+
+    def accepts(self, text: str | None) -> bool:
+        """Whether a text has a letter, and a word or n-gram of some language if any was learned."""
+        total, _, letter = self._sums(text)
+        return letter and (not len(total) or bool(total.any()))
+
+    def predict(self, text: str | None) -> tuple[str, float]:
+        total, count, letter = self._sums(text)
         if not letter or not len(total):
             return UNKNOWN, 0.0
         # Words of a text hang together: its evidence grows as the root of their number.
@@ -163,19 +175,15 @@ class _Scores(dict):
 def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang") -> Model:
     """Learn from all rows that have a text and a label; without any, no language is known."""
     labelled = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).dropna()
-    shares = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    whole = shares.agg(F.sum("n")).first()[0] or 0
-    # At most 1 / LANGUAGE_SHARE rows.
-    languages = sorted(r["lang"] for r in shares.filter(F.col("n") >= LANGUAGE_SHARE * whole).collect())
-    if not languages:
-        return Model([], {}, {})
     words = stage(
-        labelled.filter(F.col("lang").isin(languages))
-        .mapInArrow(_count_words, "lang string, word string, n long")
+        labelled.mapInArrow(_count_words, "lang string, word string, n long")
         .groupBy("lang", "word")
         .agg(F.sum("n").alias("n")),
         "language-words",
     )
+    languages = sorted(r["lang"] for r in words.select("lang").distinct().collect())
+    if not languages:
+        return Model([], {}, {})
     grams = (
         words.mapInArrow(_count_grams, "lang string, gram string, n long")
         .groupBy("lang", "gram")
@@ -209,10 +217,10 @@ def _table(counts: DataFrame, key: str, share: float, languages: list[str]) -> d
     for entry, size, lang, n in kept.collect():
         seen.setdefault(entry, {})[lang] = n
         sizes[entry] = size
-    # Half a count for what a language does not have.
     return {
         entry: tuple(
-            math.log((by.get(lang, 0) + 0.5) / (sums.get((lang, sizes[entry]), 0) + 1.0)) for lang in languages
+            math.log(max(by.get(lang, 0) / (sums.get((lang, sizes[entry]), 0) + 1.0), UNSEEN * share))
+            for lang in languages
         )
         for entry, by in seen.items()
     }
@@ -254,23 +262,19 @@ def _scores(sent) -> _Scores:
     return _LAST[1]
 
 
-#: Below this score the pipeline takes a text for none of the languages it knows.
-REJECT_BELOW = 0.3
-
-
-def accepted(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Documents whose language is known, with their own columns.
+def accepted(docs: DataFrame, *, text: str = "text") -> DataFrame:
+    """Documents with a letter, and with a word or n-gram of a known language if there is any; with their own columns.
 
+    All labelled documents are learned from, as nothing is measured here: one held out may be the only one of its language.
     Only texts go to Python and only verdicts come back; the rows wait for them in the JVM.
     """
-    model = fit(docs.filter(~held_out(id)), text=text)
+    model = fit(docs, text=text)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def judge(texts: pa.Array) -> pa.Array:
         scores, sure = _scores(sent), []
         for at in range(0, len(texts), 256):
-            found = (scores.predict(t) for t in texts.slice(at, 256).to_pylist())
-            sure += [lang != UNKNOWN and score >= REJECT_BELOW for lang, score in found]
+            sure += [scores.accepts(t) for t in texts.slice(at, 256).to_pylist()]
         return pa.array(sure, pa.bool_())
 
     names = {c: f"_c{n}" for n, c in enumerate(docs.columns)}  # clear of the column that is added

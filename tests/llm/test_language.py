@@ -82,6 +82,24 @@ def test_accepted_keeps_columns_and_clean_rows(table):
     assert sorted(r["doc_id"] for r in kept.collect()) == list(range(10))
 
 
+def test_rare_languages_are_learned(table):
+    rows = [(LANGS["en"], "en")] * 4000 + [("кот и собака живут в доме короля", "ru"), ("katten och hunden bor i huset", "sv")]
+    rare = language.fit(table([*rows, ("12 34", "xx")], "text string, lang string"))
+    assert rare.languages == ["en", "ru", "sv"]
+    texts = [(1, "собака короля"), (2, "hunden och katten"), (3, "the king and katten"), (4, "a new queen of houses")]
+    got = predict(table(texts, "doc_id long, text string"), rare)
+    assert [got[k][0] for k in (1, 2, 3, 4)] == ["ru", "sv", "en", "en"]
+
+
+def test_accepted_on_skewed_mixes(table):
+    letters = ["αβγ", "где", "גדה", "กขค", "ઉઊઋ", "ကခဂ"]  # one language each
+    rows = [(k, "the cat and the dog", "en") for k in range(3000)] + [(9000 + k, t, f"l{k}") for k, t in enumerate(letters)]
+    docs = table([*rows, (9999, "漢字", None)], "doc_id long, text string, lang string")
+    assert {r["doc_id"] for r in language.accepted(docs).collect()} == {r[0] for r in rows}
+    unlabelled = table([(1, "the dog", None), (2, "12", None), (3, None, None)], "doc_id long, text string, lang string")
+    assert [r["doc_id"] for r in language.accepted(unlabelled).collect()] == [1]
+
+
 def test_memory_of_words_may_run_full(model, monkeypatch):
     texts = [f"the king word{k} of{k} " * 3 + " ".join(f"w{chr(97 + k)}{chr(97 + n)}" for n in range(26)) for k in range(26)]
     texts = [re.sub("[0-9]+", lambda m: "abcdefghij"[int(m[0]) % 10], t) for t in texts]
