@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, covertree, decontaminate, language, licenses, packing, pii, setsketch, shards, urls
+from . import bpe, covertree, decontaminate, language, licenses, packing, pii, repair, setsketch, shards, urls
 
 QUERIES = {
     "op1_language": language.op1_language,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_decontamination": decontaminate.op8_decontamination,
     "op9_token_output": packing.op9_token_output,
     "op10_pii": pii.op10_pii,
+    "op13_conversation_repair": repair.op13_conversation_repair,
 }
 
 ORACLES = {
