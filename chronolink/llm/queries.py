@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, covertree, decontaminate, language, licenses, packing, pii, repair, setsketch, shards, urls
+from . import bpe, covertree, decontaminate, language, licenses, packing, pii, quality, repair, search, setsketch, shards, urls
 
 QUERIES = {
     "op1_language": language.op1_language,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_decontamination": decontaminate.op8_decontamination,
     "op9_token_output": packing.op9_token_output,
     "op10_pii": pii.op10_pii,
+    "op11_lexical_search": search.op11_lexical_search,
+    "op12_quality_rules": quality.op12_quality_rules,
     "op13_conversation_repair": repair.op13_conversation_repair,
 }
 
@@ -22,4 +24,5 @@ ORACLES = {
     "op4_license_scan": licenses.ORACLE,
     "op6_url_filters": urls.ORACLE,
     "op8_decontamination": decontaminate.ORACLE,
+    "op11_lexical_search": search.ORACLE,
 }
