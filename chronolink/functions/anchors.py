@@ -5,10 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# What an anchor looks like in each kind of text.
-HTML_ANCHOR = r"(?is)<a\s[^>]*>.*?</a\s*>"
-HTML_LABEL = r"(?is)^<a\s[^>]*>(.*)</a\s*>$"
+# What an anchor looks like in each kind of text. A tag ends at the first > outside quotes; there
+# are as many steps as quoted values, and none is taken back.
+_IN_TAG = r"""[^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+"""
+_OPEN = rf"<a(?=[\s/>]){_IN_TAG}>"
+HTML_ANCHOR = rf"(?is){_OPEN}.*?</a\s*>"
+HTML_LABEL = rf"(?is)^{_OPEN}(.*)</a\s*>$"
 HTML_TAG = r"<[^>]*>"
+# No markup is read inside comments, scripts and style sheets; one that is not closed goes on to the end.
+HTML_HIDDEN = rf"<!--.*?(?:-->|\z)|<(?<code>script|style)(?=[\s/>]){_IN_TAG}>.*?(?:</\k<code>\s*>|\z)"
+HTML_MAY_HIDE = r"(?i)<(?:!--|script|style)"
+# One attribute of a tag, in double, single or no quotes.
+_VALUE = r"""("[^"]*+"|'[^']*+'|[^\s"'>]++)"""
+_OTHER = r"""(?:[\s/]++(?!{name}\s*=)[^\s"'>/=]++(?:\s*=\s*(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?)"""
 # A target is followed by a section, a label or the closing brackets.
 WIKI_LINK = r"\[\[([^\[\]|#]+)(?=\||\]\]|#[^\[\]|]*(?:\||\]\]))"
 WIKI_ANCHOR = r"\[\[[^\[\]]*\]\]"
@@ -45,7 +54,8 @@ def anchors(text: Column | str, kind: str) -> Column:
         titles = F.transform(titles, lambda t: F.regexp_replace(t, "^:", ""))
         found = F.transform(titles, lambda t: _link(t, F.lit(None).cast("string")))
     elif kind in ("title", "href", "text"):
-        whole = F.regexp_extract_all(text, F.lit(HTML_ANCHOR), F.lit(0))
+        shown = F.when(text.rlike(HTML_MAY_HIDE), F.regexp_replace(text, f"(?is){HTML_HIDDEN}", "")).otherwise(text)
+        whole = F.regexp_extract_all(shown, F.lit(HTML_ANCHOR), F.lit(0))
         found = F.transform(whole, lambda a: _link(_titled(a, kind), _attribute(a, "class")))
     else:
         raise ValueError(f"kind must be one of {KINDS}, not {kind!r}")
@@ -54,12 +64,18 @@ def anchors(text: Column | str, kind: str) -> Column:
 
 
 def without_anchors(text: Column | str, kind: str) -> Column:
-    """The text with its links cut out, labels included; of wikitext also comments."""
+    """The text with its links cut out, labels included; of wikitext also comments.
+
+    What stands in HTML comments, scripts and style sheets is no link, so it stays.
+    """
     if kind == "wikitext":
         shown = _rendered(F.col(text) if isinstance(text, str) else text)
         # A label may hold a link of its own, so the outer one is left for a second look.
         return F.regexp_replace(F.regexp_replace(shown, WIKI_ANCHOR, ""), WIKI_ANCHOR, "")
-    return F.regexp_replace(text, HTML_ANCHOR, "")
+    text = F.col(text) if isinstance(text, str) else text
+    # Hidden stretches are matched first and put back as they are.
+    both = F.regexp_replace(text, rf"(?is)({HTML_HIDDEN})|(?:{HTML_ANCHOR})", "$1")
+    return F.when(text.rlike(HTML_MAY_HIDE), both).otherwise(F.regexp_replace(text, HTML_ANCHOR, ""))
 
 
 def without_tags(text: Column | str) -> Column:
@@ -109,9 +125,10 @@ def _titled(anchor, kind):
 
 
 def _attribute(anchor, name):
-    tag = F.regexp_extract(anchor, r"(?is)^<a\s[^>]*>", 0)
-    pattern = rf"(?is)\s{name}\s*=\s*([\"'])(.*?)\1"
-    return F.when(tag.rlike(pattern), F.regexp_extract(tag, pattern, 2))
+    """Value of the first attribute of that name in the anchor's tag, quotes taken off; null if there is none."""
+    pattern = rf"(?is)^<a{_OTHER.format(name=name)}*+[\s/]++{name}\s*=\s*{_VALUE}"
+    value = F.regexp_extract(anchor, pattern, 1)
+    return F.when(value != "", F.regexp_replace(value, "^[\"']|[\"']$", ""))
 
 
 def _inside(css_class):

@@ -172,6 +172,8 @@ ORACLES = {
         select article || chr(9) || '[' || strftime(valid_from, '%Y-%m-%dT%H:%M:%S') || ','
                || strftime(valid_to, '%Y-%m-%dT%H:%M:%S') || '] ' || target || ' ' || cnt as value
         from closed""",
+    "edge_article_manifest": f"""with {_EVENTS} {_RUNS}
+        select cast(article as varchar) as file_key, article, count(*) as n_rows from closed group by article""",
     "revision_order": f"""with {_EVENTS}
         select article, ts, row_number() over w as seq, lead(ts) over w as next_ts
         from revisions window w as (partition by article order by ts, rev_id)""",
@@ -248,6 +250,24 @@ ORACLES = {
                    as bigint) as mentions
           from (select *, regexp_replace(html, '<a href="[^"]*">[^<]*</a>', '', 'g') as rest from targets))
         select page_id, target, anchors, mentions, anchors + mentions as cnt from counted""",
+    # Of the six forms only the first, second and last are links; the others stay in the text, as they are.
+    "link_html_counts": """
+        with plain as (
+          select page_id, html, unnest(regexp_extract_all(html, '<a href="[^"]*">([^<]*)</a>', 1)) as label from pages),
+        links as (
+          select page_id, html, label || case page_id % 6 when 1 then '>x' else '' end as target
+          from plain where page_id % 6 in (0, 1, 5)),
+        targets as (
+          select page_id, target, count(*) as anchors, any_value(html) as html from links
+          where not regexp_matches(target, '^(User:|User talk:|Talk:|/)') and length(target) < 256 and target <> ''
+          group by 1, 2),
+        counted as (
+          select page_id, target, anchors, cast((length(rest) - length(replace(rest, target, ''))) / length(target)
+                   as bigint) as mentions
+          from (select *, case when page_id % 6 = 5
+                  then regexp_replace(html, '<a href="[^"]*">([^<]*)</a>', '<style>/* <a title="\\1">z</a> */</style>', 'g')
+                  else regexp_replace(html, '<a href="[^"]*">[^<]*</a>', '', 'g') end as rest from targets))
+        select page_id, target, anchors, mentions, anchors + mentions as cnt from counted""",
     "wikitext_hidden": """
         select conv_id, turn, target, cast(1 as bigint) as anchors, mentions, 1 + mentions as cnt from (
           select conv_id, turn, role as target, cast((length(rest) - length(replace(rest, role, ''))) / length(role)
@@ -268,15 +288,15 @@ ORACLES = {
               from pages)""",
     "tag_blocks": """
         with lines as (
-          select page_id, replace(html, chr(10), ' ') as line,
-                 coalesce(sum(strlen(html) + 1) over (
+          select page_id, page_id // 100 as part, replace(html, chr(10), ' ') as line,
+                 coalesce(sum(strlen(html) + 1) over (partition by page_id // 100
                    order by page_id rows between unbounded preceding and 1 preceding), 0) as before
           from pages),
         pieces as (
-          select page_id, before, string_split(line, '</li>') as p from lines),
+          select part, before, string_split(line, '</li>') as p from lines),
         numbered as (
-          select before, p, unnest(range(1, len(p))) as k from pieces)
-        select substr(p[k], instr(p[k], '<li>')) || '</li>' as block,
+          select part, before, p, unnest(range(1, len(p))) as k from pieces)
+        select part, substr(p[k], instr(p[k], '<li>')) || '</li>' as block,
                cast(before + coalesce(list_sum(list_transform(p[1 : k - 1], lambda x: strlen(x) + 5)), 0)
                  + strlen(substr(p[k], 1, instr(p[k], '<li>') - 1)) as bigint) as offset
         from numbered where contains(p[k], '<li>')""",

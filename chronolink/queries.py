@@ -14,7 +14,7 @@ from .operators.slicing import page_slice as slice_pages
 from .plans import jobs
 from .plans.staging import new_path
 from .sinks.render import history_pages, page_head, revision_xml, write_dump
-from .sinks.write import split_pages, write_edges
+from .sinks.write import article_manifest, split_pages, write_edges
 from .sources import dump
 
 EPOCH = "2020-01-01 00:00:00"
@@ -187,6 +187,14 @@ def edge_article_sink(spark, sf_dir):
     return spark.read.text(path).select("value")
 
 
+def edge_article_manifest(spark, sf_dir):
+    """Rows of each article, as the manifest of the written edges has them."""
+    path = new_path(spark, "article-edges")
+    write_edges(temporal_edges(spark, sf_dir), path, layout="article", buckets=16)
+    places = article_manifest(spark, path)
+    return places.groupBy("file_key", "article").agg(F.sum("n_rows").alias("n_rows"))
+
+
 def edge_text_sink(spark, sf_dir):
     path = new_path(spark, "edge-lines")
     write_edges(temporal_edges(spark, sf_dir), path, format="text", buckets=16)
@@ -284,6 +292,24 @@ def link_title_counts(spark, sf_dir):
     return counted.select("page_id", F.inline("links"))
 
 
+def link_html_counts(spark, sf_dir):
+    """Anchors without quotes, with a tag's end inside quotes, in comments, scripts and style sheets."""
+    html = F.element_at(
+        F.array(
+            F.lit("<a href=$1 title=$2>z</a>"),
+            F.lit('<a title="$2>x" href="$1"><i>z</i></a>'),
+            F.lit('<!-- <a href="$1" title="$2">z</a> -->'),
+            F.lit('<script>show(\'<a href="$1" title="$2">z</a>\')</script>'),
+            F.lit("<a data-title='title=\"no\"' href=$1 class=\"a>b external\" title='$2'>z</a>"),
+            F.lit('<style>/* <a title="$2">z</a> */</style><A TITLE=\'$2\'>$2</A>'),
+        ),
+        (F.col("page_id") % 6 + 1).cast("int"),
+    )
+    wild = F.regexp_replace("text", F.lit('<a href="([^"]*)">([^<]*)</a>'), html)
+    pages = html_pages(spark, sf_dir).withColumn("text", wild)
+    return L.with_link_counts(pages, kind="title").select("page_id", F.inline("links"))
+
+
 def wikitext_hidden(spark, sf_dir):
     """Links beside comments, inside ``nowiki`` and without an end."""
     role = F.col("role")
@@ -355,12 +381,21 @@ def page_split(spark, sf_dir):
 # Dumps: tables written as XML files and scanned back.
 
 
+# Pages of one file of the dump of list items.
+FILE_PAGES = 100
+
+
 def tag_blocks(spark, sf_dir):
+    """List items of pages written as files of fixed id ranges, so that offsets can be told in SQL, too."""
     path = new_path(spark, "html")
-    # One file in a fixed order, so that offsets can be told in SQL, too.
-    rows = _table(spark, sf_dir, "pages").select("page_id", F.regexp_replace("html", "\n", " ").alias("value"))
-    rows.repartitionByRange(1, "page_id").sortWithinPartitions("page_id").select("value").write.text(path)
-    return dump.scan_blocks(spark, path, "<li>", "</li>").select("block", "offset")
+    part = F.floor(F.col("page_id") / FILE_PAGES)
+    rows = _table(spark, sf_dir, "pages").select(
+        "page_id", part.alias("part"), F.regexp_replace("html", "\n", " ").alias("value")
+    )
+    sorted_rows = rows.repartition("part").sortWithinPartitions("part", "page_id")
+    sorted_rows.select("part", "value").write.partitionBy("part").text(path)
+    file_part = F.regexp_extract("file", "part=([0-9]+)", 1).cast("long")
+    return dump.scan_blocks(spark, path, "<li>", "</li>").select(file_part.alias("part"), "block", "offset")
 
 
 def _page_dump(spark, sf_dir, **options):
@@ -464,6 +499,7 @@ QUERIES = {
         edge_sink_roundtrip,
         edge_text_sink,
         edge_article_sink,
+        edge_article_manifest,
         links_flat,
         links_strict,
         link_anchor_counts,
@@ -473,6 +509,7 @@ QUERIES = {
         page_links_grouped,
         links_title,
         link_title_counts,
+        link_html_counts,
         wikitext_hidden,
         title_entities,
         file_keys,

@@ -7,9 +7,11 @@ extension, bz2 files are split too.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.once import with_columns_once
@@ -32,6 +34,10 @@ COMPRESSED = r"\.(bz2|gz|deflate|lz4|snappy|zst|xz)$"
 MARK_BYTES = 3
 # Rows of a split that are looked at together. A compressed file may be one split.
 SPLIT_ROWS = 1 << 12
+# Bytes of page heads that are sent to every task. Files with more are scanned in several lots.
+HEAD_BYTES = 1 << 26
+# A block may be one value up to this size.
+BLOCK_BYTES = 1 << 30
 
 Paths = str | Sequence[str]
 
@@ -63,6 +69,7 @@ def scan_blocks(
     end_tag: str,
     *,
     name_regex: str | None = None,
+    max_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Every block from start to end tag, tags included: ``(file, offset, block)``.
 
@@ -70,10 +77,11 @@ def scan_blocks(
     A block goes from the first start tag after the block before to the next end tag, so a start tag may come
     again inside. What has no end tag, such as the last block of a file that was cut off, is no block; this
     is the same for plain, compressed and marked files. Only the byte order mark of a compressed file is not
-    counted, as nothing tells of it.
+    counted, as nothing tells of it. A block of more than ``max_bytes`` cannot be a value: it has its offset and
+    a null text.
 
     Bytes before a split are only known once all splits are read, so the text is staged once. Positions are
-    worked out on rows without text, and each text then travels once to its position.
+    worked out on rows without text, and each text that is part of a block then travels once to its position.
     """
     chunks = stage(
         read_chunks(spark, path, start_tag, name_regex=name_regex)
@@ -82,29 +90,45 @@ def scan_blocks(
         .withColumn("part", _part()),
         "chunks",
     )
-    placed = stage(_with_places(chunks.drop("chunk"), len(start_tag.encode())), "places")
-    # What precedes the first start tag of a file is no part of a block.
-    placed = placed.filter("_before > 0").select("file", "pos", "_offset", "_run", "_alone", "_ends")
-    rows = chunks.select("file", "pos", "chunk").join(placed, ["file", "pos"])
+    placed, closed = _with_places(chunks.drop("chunk"), len(start_tag.encode()))
+    closed = stage(closed, "closed-files")
+    placed = stage(placed.join(closed, "file").filter(_IN_BLOCK), "places")
+    rows = _texts_in_blocks(chunks, closed).join(
+        placed.select("file", "pos", "_offset", "_run", "_alone"), ["file", "pos"]
+    )
     inner = F.substring_index("chunk", end_tag, 1)
-    alone = rows.filter("_alone and _ends").select("file", F.col("_offset").alias("offset"), inner.alias("inner"))
-    # Start tags inside a block: their pieces are put together up to the end tag.
-    piece = F.struct("pos", "_offset", inner.alias("inner"), "_ends")
+    alone = rows.filter("_alone").select("file", F.col("_offset").alias("offset"), inner.alias("inner"))
+    # Start tags inside a block: their pieces are put together up to the end tag. Every run has one, and its size
+    # is known before its texts are gathered.
+    size = placed.filter("not _alone").groupBy("file", "_run").agg(F.sum("_bytes").alias("_size"))
+    size = size.filter(F.col("_size") > max_bytes).select("file", "_run", F.lit(True).alias("_large"))
+    pieces = rows.filter("not _alone").join(size, ["file", "_run"], "left")
+    piece = F.struct("pos", "_offset", F.when(F.col("_large").isNull(), inner).alias("inner"))
     joined = (
-        rows.filter("not _alone")
-        .groupBy("file", "_run")
-        .agg(F.sort_array(F.collect_list(piece)).alias("pieces"))
-        .filter(F.element_at("pieces", -1)["_ends"])
+        pieces.groupBy("file", "_run")
+        .agg(F.sort_array(F.collect_list(piece)).alias("pieces"), F.first("_large").alias("_large"))
         .select(
             "file",
             F.element_at("pieces", 1)["_offset"].alias("offset"),
-            F.array_join(F.transform("pieces", lambda p: p.inner), start_tag).alias("inner"),
+            F.when(
+                F.col("_large").isNull(), F.array_join(F.transform("pieces", lambda p: p.inner), start_tag)
+            ).alias("inner"),
         )
     )
     block = F.concat(F.lit(start_tag), "inner", F.lit(end_tag))
     return alone.unionByName(joined).select("file", "offset", block.alias("block"))
 
 
+# Runs follow each other, so only what stands before the first start tag of a file or after its last end tag is in no
+# block. That is one row per file, and a file without an end tag has none.
+_IN_BLOCK = "_before > 0 and struct(split, pos) <= _closed"
+
+
+def _texts_in_blocks(chunks: DataFrame, closed: DataFrame) -> DataFrame:
+    """``(file, pos, chunk)`` of the chunks that may be in a block, told without moving any text."""
+    return chunks.join(closed, "file").filter("struct(split, pos) <= _closed").select("file", "pos", "chunk")
+
+
 def scan_pages(
     spark: SparkSession, path: Paths, *, name_regex: str | None = None
 ) -> DataFrame:
@@ -135,61 +159,147 @@ def scan_revisions(
     name_regex: str | None = None,
     keep_redirects: bool = False,
     after: str | None = None,
+    head_bytes: int = HEAD_BYTES,
 ) -> DataFrame:
     """Every revision of a history dump: ``(article, rev_id, ts, text, corrupt)``.
 
     A row is one revision, so a page of any length is read by many tasks. The title stands only at
-    the start of the page, maybe splits away: it is carried forward from the last page header.
-    Pages with a redirect tag ahead of their first revision are skipped. ``ts`` is UTC wall-clock
-    time. A malformed revision keeps its XML in ``corrupt`` and has null fields; one that the end of
+    the start of the page, maybe splits away. So a first scan takes the heads of the pages, and a second one looks
+    up the last head before each revision; its rows are neither shuffled nor sorted, and written once.
+    Pages with a redirect tag ahead of their first revision are skipped before their text is parsed. ``ts`` is
+    UTC wall-clock time. A malformed revision keeps its XML in ``corrupt`` and has null fields; one that the end of
     the file cuts off is left out. With ``after`` only revisions later than it are returned.
 
     ``project`` may replace ``text`` by something narrower, such as links. It runs in the scan
-    task, before rows are staged and shuffled, and must keep all other columns. It sees no text of
-    revisions that ``after`` leaves out.
+    task, before rows are written, and must keep all other columns. It sees neither revisions of redirect
+    pages nor those that ``after`` leaves out.
 
     The result is a written table, so what is built on it does not scan again.
     """
-    chunks = read_chunks(spark, path, REVISION, name_regex=name_regex)
+    chunks = read_chunks(spark, path, REVISION, name_regex=name_regex).withColumn("part", _part())
+    # What follows the revision may hold the head of the next page.
+    chunks = chunks.withColumn("_tail", F.substring_index("chunk", REVISION_END, -1))
+
+    def revisions(chunks: DataFrame, heads: DataFrame) -> DataFrame:
+        found = revisions_of(chunks, heads, keep_redirects=keep_redirects, after=after)
+        return project(found) if project else found
+
+    with fixed_splits(spark, chunks):
+        heads = stage(page_heads(chunks), "page-heads")
+        # A row per file, whose list the driver has anyway.
+        sizes = heads.groupBy("file").agg(F.sum("_head_bytes").alias("_bytes")).orderBy("file").collect()
+        lots = _lots(sizes, head_bytes)
+        if len(lots) <= 1:
+            small = sum(r["_bytes"] for r in sizes) <= head_bytes
+            return stage(revisions(chunks, F.broadcast(heads) if small else heads), "revisions")
+        written = []
+        for files, bytes_ in lots:
+            some = heads.filter(F.col("file").isin(files))
+            mine = chunks.filter(F.col("file").isin(files))
+            written.append(stage(revisions(mine, F.broadcast(some) if bytes_ <= head_bytes else some), "revisions"))
+        return reduce(DataFrame.unionByName, written)
+
+
+def _lots(sizes: list, limit: int) -> list[tuple[list[str], int]]:
+    """Files in lots of at most ``limit`` bytes of heads; a file with more is a lot of its own."""
+    lots: list[tuple[list[str], int]] = []
+    for file, size in sizes:
+        if lots and lots[-1][1] + size <= limit:
+            lots[-1] = ([*lots[-1][0], file], lots[-1][1] + size)
+        else:
+            lots.append(([file], size))
+    return lots
+
+
+@contextmanager
+def fixed_splits(spark: SparkSession, scan: DataFrame) -> Iterator[None]:
+    """Inside, every scan of a file is cut alike and a task reads one split, whatever else is read beside it.
+
+    So ``pos`` counts the rows of its split, and two scans agree on it. For what is run inside, not for what is
+    returned.
+    """
+    conf = spark._jsparkSession.sessionState().conf()
+    files = scan._jdf.queryExecution().analyzed().collectLeaves().head()
+    share = int(files.stats().sizeInBytes()) // max(spark.sparkContext.defaultParallelism, 1)
+    split = max(1, min(conf.filesMaxPartitionBytes(), max(conf.filesOpenCostInBytes(), share)))
+    # With so high a cost of opening a file, Spark neither makes splits smaller nor puts two into one task.
+    wanted = {"maxPartitionBytes": split, "openCostInBytes": split, "minPartitionNum": None, "maxPartitionNum": None}
+    names = [f"spark.sql.files.{n}" for n in wanted]
+    before = {n: spark.conf.get(n, None) for n in names}
+    _set(spark, dict(zip(names, wanted.values(), strict=True)))
+    try:
+        yield
+    finally:
+        _set(spark, before)
+
+
+def _set(spark: SparkSession, values: dict) -> None:
+    for name, value in values.items():
+        if value is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, str(value))
+
+
+def page_heads(chunks: DataFrame) -> DataFrame:
+    """Page heads of each part of a split: ``(file, split, part, heads, carried, _head_bytes)``.
+
+    ``heads`` is sorted by ``pos``, the row whose tail holds the head; ``carried`` is the last head before the part.
+    Each is ``STRUCT<pos, title, redirect>``.
+    """
     own = F.substring_index("_tail", PAGE, -1)
-    page = F.when(
+    head = F.when(
         F.contains("_tail", F.lit(PAGE)),
         F.struct(
-            F.regexp_extract(own, TITLE, 1).alias("title"),
+            "pos",
+            unescape_xml(F.regexp_extract(own, TITLE, 1)).alias("title"),
             F.contains(own, F.lit(REDIRECT)).alias("redirect"),
         ),
     )
-    whole = F.contains("chunk", F.lit(REVISION_END))
+    rows = with_columns_once(chunks.select(*_PART, "pos", "_tail"), {"_head": head})
+    parts = rows.groupBy(*_PART).agg(F.sort_array(F.collect_list("_head")).alias("heads"))
+    along = _windows()[1]
+    carried = F.last(F.try_element_at("heads", F.lit(-1)), True).over(along)
+    size = F.aggregate(
+        "heads", F.lit(64).cast("long"), lambda n, h: n + 32 + F.octet_length(h.title)
+    )
+    return parts.select("*", carried.alias("carried"), size.alias("_head_bytes"))
+
+
+def revisions_of(
+    chunks: DataFrame, heads: DataFrame, *, keep_redirects: bool = False, after: str | None = None
+) -> DataFrame:
+    """``(article, rev_id, ts, text, corrupt)`` of chunks, by the heads of their pages."""
+    # Twelve halvings and one step find the place among the heads of a part.
+    steps = SPLIT_ROWS.bit_length()
+    middle = "(s.low + s.high) div 2"
+    place = F.expr(
+        f"aggregate(sequence(1, {steps}), named_struct('low', 0, 'high', size(heads)), (s, _) -> if("
+        f"s.low >= s.high, s, if(heads[cast({middle} as int)].pos < pos, "
+        f"named_struct('low', cast({middle} as int) + 1, 'high', s.high), "
+        f"named_struct('low', s.low, 'high', cast({middle} as int)))), s -> s.low)"
+    )
+    page = F.coalesce(F.get("heads", place - 1), F.col("carried"))
+    kept = F.contains("chunk", F.lit(REVISION_END)) & F.col("_page").isNotNull()
+    if not keep_redirects:
+        kept &= ~F.col("_page.redirect")
+    texts = chunks.select(*_PART, "pos", "chunk").join(heads.drop("_head_bytes"), _PART)
+    # The heads are no output of the look-up, so they are not copied to every row.
+    texts = with_columns_once(texts, {"_page": page}).select("_page", "chunk").filter(kept)
     inner = F.substring_index("chunk", REVISION_END, 1)
     revision = F.from_xml(
-        F.when(whole, F.concat(F.lit(REVISION), inner, F.lit(REVISION_END))),
-        REVISION_SCHEMA,
-        xml_options("revision"),
+        F.concat(F.lit(REVISION), inner, F.lit(REVISION_END)), REVISION_SCHEMA, xml_options("revision")
     )
-    # What follows the revision may hold the head of the next page.
-    chunks = chunks.withColumn("_tail", F.substring_index("chunk", REVISION_END, -1))
-    parsed = with_columns_once(chunks, {"_rev": revision}).select(
-        "file",
-        "split",
-        "pos",
-        whole.alias("_whole"),
-        page.alias("_page_after"),
+    parsed = with_columns_once(texts.select("_page", "chunk"), {"_rev": revision}).select(
+        F.col("_page.title").alias("article"),
         F.col("_rev.id").try_cast("long").alias("rev_id"),
         utc_time(F.col("_rev.timestamp")).alias("ts"),
         F.col("_rev.text").alias("text"),
         F.col("_rev._corrupt_record").alias("corrupt"),
     )
-    if after is not None:
-        late = F.coalesce(F.col("ts") > F.lit(after).cast("timestamp_ntz"), F.lit(False))
-        parsed = parsed.withColumns({"_whole": F.col("_whole") & late, "text": F.when(late, F.col("text"))})
-    staged = stage((project(parsed) if project else parsed).withColumn("part", _part()), "revisions")
-    kept = F.col("_whole") & F.col("_page").isNotNull()
-    if not keep_redirects:
-        kept &= ~F.col("_page.redirect")
-    helpers = {"file", "split", "part", "pos", "_whole", "_page_after"}
-    payload = [c for c in staged.columns if c not in helpers]
-    titled = _with_page(staged).filter(kept).select(unescape_xml("_page.title").alias("article"), *payload)
-    return stage(titled, "titled-revisions")
+    if after is None:
+        return parsed
+    return parsed.filter(F.col("ts") > F.lit(after).cast("timestamp_ntz"))
 
 
 # What precedes a chunk is put together in two steps: a window inside each part of a split, and one row
@@ -198,7 +308,7 @@ def scan_revisions(
 _PART = ["file", "split", "part"]
 
 
-def _part():
+def _part() -> Column:
     """Number of the part of a split; the low 33 bits of ``pos`` count the rows of a task."""
     row = F.col("pos").bitwiseAND(F.lit((1 << 33) - 1))
     return F.floor(row / SPLIT_ROWS).cast("int")
@@ -210,8 +320,8 @@ def _windows():
     return tuple(w.rowsBetween(Window.unboundedPreceding, -1) for w in (inside, along))
 
 
-def _with_places(chunks: DataFrame, tag_bytes: int) -> DataFrame:
-    """Add the place of each chunk in its unpacked file.
+def _with_places(chunks: DataFrame, tag_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """Add the place of each chunk in its unpacked file; and per file the last chunk with an end tag, ``_closed``.
 
     ``_before`` counts the chunks before it, ``_offset`` the bytes before the tag it follows, ``_run`` the chunks
     before it that have an end tag. ``_alone`` says that no other chunk is in its run.
@@ -220,8 +330,12 @@ def _with_places(chunks: DataFrame, tag_bytes: int) -> DataFrame:
     one, ends = F.lit(1).cast("long"), F.col("_ends").cast("long")
     sums = {"_before": one, "_length": F.col("_bytes") + tag_bytes, "_run": ends}
     parts = chunks.groupBy(*_PART).agg(
-        *[F.sum(v).alias(n) for n, v in sums.items()], F.max("file_size").alias("file_size")
+        *[F.sum(v).alias(n) for n, v in sums.items()],
+        F.max("file_size").alias("file_size"),
+        F.max_by("_ends", "pos").alias("_last"),
+        F.max(F.when(F.col("_ends"), F.struct("split", "pos"))).alias("_closed"),
     )
+    parts = stage(parts, "parts")
     # Text and tags of a plain file are all its bytes, but for a mark at its start.
     whole = F.sum("_length").over(Window.partitionBy("file")) - tag_bytes
     marked = (F.col("file_size") - whole == MARK_BYTES) & ~F.col("file").rlike(COMPRESSED)
@@ -229,6 +343,7 @@ def _with_places(chunks: DataFrame, tag_bytes: int) -> DataFrame:
         *_PART,
         *[F.coalesce(F.sum(n).over(along), F.lit(0)).alias(f"{n}_carried") for n in sums],
         F.when(marked, MARK_BYTES).otherwise(0).alias("_mark"),
+        F.last("_last").over(along).alias("_ended"),
     )
     placed = chunks.withColumns({n: F.coalesce(F.sum(v).over(inside), F.lit(0)) for n, v in sums.items()}).join(
         carried, _PART
@@ -238,24 +353,8 @@ def _with_places(chunks: DataFrame, tag_bytes: int) -> DataFrame:
     # A chunk is alone if it ends and the one before it ends or stands at the start of the file. At the start of a
     # part that is told by the part before.
     previous = F.coalesce(F.lag("_ends").over(near), F.col("_ended"))
-    last = chunks.groupBy(*_PART).agg(F.max_by("_ends", "pos").alias("_last"))
-    last = last.select(*_PART, F.lag("_last").over(Window.partitionBy("file").orderBy("split", "part")).alias("_ended"))
-    return (
-        placed.join(last, _PART)
-        .withColumn("_offset", F.col("_length") - tag_bytes + F.col("_mark"))
-        .withColumn("_alone", F.col("_ends") & ((F.col("_before") == 1) | F.coalesce(previous, F.lit(False))))
-    )
-
-
-def _with_page(chunks: DataFrame) -> DataFrame:
-    """Add ``_page``, the nearest page head in the chunks before."""
-    inside, along = _windows()
-    at = F.when(F.col("_page_after").isNotNull(), F.col("pos"))
-    splits = chunks.groupBy(*_PART).agg(F.max_by("_page_after", at).alias("_last"))
-    splits = splits.select(*_PART, F.last("_last", True).over(along).alias("_carried"))
-    return (
-        chunks.withColumn("_near", F.last("_page_after", True).over(inside))
-        .join(splits, _PART)
-        .withColumn("_page", F.coalesce("_near", "_carried"))
-        .drop("_near", "_carried")
+    closed = parts.groupBy("file").agg(F.max("_closed").alias("_closed")).filter("_closed is not null")
+    placed = placed.withColumn("_offset", F.col("_length") - tag_bytes + F.col("_mark")).withColumn(
+        "_alone", F.col("_ends") & ((F.col("_before") == 1) | F.coalesce(previous, F.lit(False)))
     )
+    return placed, closed

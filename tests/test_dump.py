@@ -5,6 +5,8 @@ import re
 from datetime import datetime
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from chronolink.sources import dump
@@ -208,3 +210,95 @@ def test_title_of_a_page_many_splits_long(spark, tmp_path, small_splits):
     assert scan.groupBy("article").count().collect() == [("Long", 1000)]
     splits = dump.read_chunks(spark, str(tmp_path), dump.REVISION).select("split").distinct()
     assert splits.count() > 10
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("head_bytes", [0, 3000, 1 << 26])
+def test_heads_in_lots(spark, tmp_path, small_splits, head_bytes):
+    wants = []
+    for seed in range(4):
+        content, want = make_dump(seed, pages=20 * (seed + 1))
+        put(tmp_path, f"h {seed}%20é.xml", content)
+        wants += want
+    assert found(dump.scan_revisions(spark, str(tmp_path), head_bytes=head_bytes)) == sorted(wants)
+
+
+@settings(max_examples=50)
+@given(st.lists(st.integers(0, 9), max_size=8), st.integers(0, 12))
+def test_lots_hold_all_files_and_the_limit(sizes, limit):
+    files = [(f"f{n}", size) for n, size in enumerate(sizes)]
+    lots = dump._lots(files, limit)
+    assert [f for some, _ in lots for f in some] == [f for f, _ in files]
+    assert all(total <= limit or len(some) == 1 for some, total in lots)
+
+
+def test_payload_is_not_shuffled(spark, tmp_path):
+    content, _ = make_dump(1, pages=10)
+    put(tmp_path, "h.xml", content)
+    chunks = dump.read_chunks(spark, str(tmp_path), dump.REVISION).withColumn("part", dump._part())
+    chunks = chunks.withColumn("_tail", F.substring_index("chunk", dump.REVISION_END, -1))
+    heads = dump.page_heads(chunks)
+    text = plan(dump.revisions_of(chunks, F.broadcast(heads)))
+    payload = text[: text.index("BroadcastExchange")]
+    assert "Exchange hash" not in payload and "Sort" not in payload and "Window" not in payload
+    # The heads of a part are dropped where the page of a row is known.
+    assert "heads" not in payload[: payload.index("_page")]
+
+
+def test_redirects_are_skipped_before_any_work_on_their_text(spark, tmp_path, small_splits):
+    def page(title, mark, head=""):
+        revisions = "".join(
+            f"<revision><id>{k}</id><timestamp>2020-01-01T00:00:00Z</timestamp><text>{mark} {'x' * 400}</text></revision>\n"
+            for k in range(150)
+        )
+        return f"<page><title>{title}</title>{head}{revisions}</page>\n"
+
+    content = page("A", "good") + page("B", "boom", '<redirect title="A" />') + page("C", "good")
+    put(tmp_path, "h.xml", content)
+
+    def touchy(revisions):
+        seen = F.when(F.contains("text", F.lit("boom")), F.raise_error(F.lit("text of a redirect"))).otherwise(F.length("text"))
+        return revisions.withColumn("n", seen).drop("text")
+
+    scan = dump.scan_revisions(spark, str(tmp_path), project=touchy)
+    assert {r.article: r["count"] for r in scan.groupBy("article").count().collect()} == {"A": 150, "C": 150}
+    with pytest.raises(Exception, match="text of a redirect"):
+        dump.scan_revisions(spark, str(tmp_path), project=touchy, keep_redirects=True)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "20000"  # as the fixture set it
+
+
+def test_settings_come_back(spark, tmp_path):
+    content, _ = make_dump(1, pages=3)
+    put(tmp_path, "h.xml", content)
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    dump.scan_revisions(spark, str(tmp_path))
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+    assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None
+
+
+def test_texts_that_no_end_tag_follows_do_not_travel(spark, tmp_path):
+    put(tmp_path, "open.xml", "<page>text " * 500)
+    put(tmp_path, "cut.xml", "head <page>1</page><page>2 <page>3</page>" + "<page>open " * 100)
+    read = dump.read_chunks(spark, str(tmp_path), dump.PAGE)
+    chunks = dump.stage(
+        read.withColumn("_bytes", F.octet_length("chunk").cast("long"))
+        .withColumn("_ends", F.contains("chunk", F.lit(dump.PAGE_END)))
+        .withColumn("part", dump._part()),
+        "chunks",
+    )
+    _, closed = dump._with_places(chunks.drop("chunk"), len(dump.PAGE))
+    texts = dump._texts_in_blocks(chunks, dump.stage(closed, "closed"))
+    # The head, two pieces and two ends of one file, nothing of the other; told before any text moves.
+    assert {r["file"].rsplit("/")[-1]: r["count"] for r in texts.groupBy("file").count().collect()} == {"cut.xml": 4}
+    assert "Exchange hash" not in plan(texts)
+    blocks = dump.scan_blocks(spark, str(tmp_path), "<page>", "</page>").select("offset", "block")
+    assert sorted(map(tuple, blocks.collect())) == [(5, "<page>1</page>"), (19, "<page>2 <page>3</page>")]
+
+
+def test_a_block_too_large_for_a_value(spark, tmp_path):
+    put(tmp_path, "h.xml", "<b>1</b><b>" + "<b>22" * 100 + "</b><b>3</b>")
+    rows = dump.scan_blocks(spark, str(tmp_path), "<b>", "</b>", max_bytes=150).orderBy("offset").collect()
+    assert [(r.offset, r.block) for r in rows] == [(0, "<b>1</b>"), (8, None), (515, "<b>3</b>")]

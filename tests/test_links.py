@@ -145,3 +145,35 @@ def test_anchors_in_any_form_are_cut_out(spark, anchor, kind):
 )
 def test_hidden_and_unclosed_wikitext(spark, text, want):
     assert counts(spark, text, "wikitext") == want
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("<a href=/x title=X1>z</a> X1", [("X1", 1, 1)]),
+        ("<a href=/x title=X1/>z</a>", [("X1/", 1, 0)]),
+        ('<a title="a>b" href="/x">z</a> a>b', [("a>b", 1, 1)]),
+        ("<a title='say \"a>b\"'>z</a>", [('say "a>b"', 1, 0)]),
+        ('<!-- <a title="X1">X1</a> --> <a title="Y">Y</a> X1', [("Y", 1, 0)]),
+        ("<script>var s = '<a title=\"X1\">X1</a>';</script> <a title=Y>y</a>", [("Y", 1, 0)]),
+        ("<STYLE type='a>b'>a:after{content:'<a title=Q>'}</STYLE ><a title=Zed>y</a>", [("Zed", 1, 0)]),
+        ("<scripted><a title=Y>y</a></scripted>", [("Y", 1, 0)]),
+        ('<a title="Y">y</a> <!-- open <a title="Z">z</a> Y', [("Y", 1, 1)]),
+        ('<a data-x=\'title="no"\' title="Y">y</a>', [("Y", 1, 0)]),
+        ('<a xtitle="no" title="Y" title="second">y</a>', [("Y", 1, 0)]),
+        ('<a disabled/title="Y">y</a><a hidden>h</a><a title="">e</a>', [("Y", 1, 0)]),
+        ('<abbr title="no">y</abbr><a>y</a>', []),
+    ],
+)
+def test_html_as_found_in_the_wild(spark, text, want):
+    assert counts(spark, text, "title") == want
+
+
+def test_anchors_without_attributes_are_links_by_text(spark):
+    assert counts(spark, "<a>X</a> <a/>Y</a> <area>Z</area> X", "text") == [("X", 1, 1), ("Y", 1, 0)]
+
+
+def test_long_tags_and_texts(spark):
+    many = " ".join(f"d{n}='>{n}'" for n in range(5000))
+    html = f"<a {many} title='X'>y</a> X" + "<!--" + "-" * 200_000 + "-->" + "<p 'x'>" * 20_000
+    assert counts(spark, html, "title") == [("X", 1, 1)]

@@ -1,4 +1,5 @@
 from pathlib import Path
+from urllib.parse import unquote
 
 import pytest
 from histories import at, frames, random_histories, result
@@ -37,9 +38,8 @@ def test_text_lines(spark, edges, tmp_path):
     assert len(lines) == edges.count()
 
     W.write_edges(edges, single, layout="article", format="text")
-    folders = {p.name for p in Path(single).iterdir() if p.is_dir()}
-    assert len(folders) == edges.select("article").distinct().count()
-    (row,) = spark.read.text(single).filter("file_key = 'AB/Ü'").collect()
+    assert sorted(r.value for r in spark.read.text(single).collect()) == sorted(lines)
+    (row,) = W.read_article(spark, single, "A B/Ü", format="text").collect()
     assert row.value == "A B/Ü\t[2020-01-01T00:01:00,2020-01-01T00:02:00] X Y 1"
 
 
@@ -48,6 +48,55 @@ def test_articles_that_differ_in_spaces_stay_apart(spark, tmp_path):
     df, path = temporal_edges(*frames(spark, histories)), str(tmp_path / "a")
     W.write_edges(df, path, layout="article", format="text")
     assert {r.value.split("\t")[0] for r in spark.read.text(path).collect()} == {"A B", "AB"}
+    places = W.article_manifest(spark, path).orderBy("article").collect()
+    assert [(r.file_key, r.article, r.first_row, r.n_rows) for r in places] == [("AB", "A B", 0, 1), ("AB", "AB", 1, 1)]
+    assert {r.value.split("\t")[0] for r in W.read_article(spark, path, "AB", format="text").collect()} == {"A B", "AB"}
+
+
+def lines_of(file, format, spark):
+    table = spark.read.format(format).load(file)
+    return table.coalesce(1).collect()
+
+
+@pytest.mark.parametrize("format", ["parquet", "text"])
+def test_manifest_addresses_every_article(spark, edges, tmp_path, format):
+    path = str(tmp_path / "m")
+    W.write_edges(edges, path, layout="article", format=format, buckets=5)
+    held = {}
+    for place in W.article_manifest(spark, path).collect():
+        rows = lines_of(unquote(place.file), format, spark)[place.first_row : place.first_row + place.n_rows]
+        names = {r.article if format == "parquet" else r.value.split("\t")[0] for r in rows}
+        assert names == {place.article} and len(rows) == place.n_rows
+        held[place.article] = held.get(place.article, 0) + place.n_rows
+    assert held == {r.article: r["count"] for r in edges.groupBy("article").count().collect()}
+
+
+def test_one_article_is_read_from_its_own_files(spark, edges, tmp_path):
+    path = str(tmp_path / "one")
+    W.write_edges(edges, path, layout="article", buckets=7)
+    name = edges.orderBy("article").first().article
+    one = W.read_article(spark, path, name)
+    assert result(one) == result(edges.filter(F.col("article") == name))
+    scan = one._jdf.queryExecution().executedPlan().collectLeaves().head()
+    files = len(list(Path(path).glob("bucket=*/*.parquet")))
+    assert scan.metrics().get("numFiles").get().value() == 1 < files
+    assert W.read_article(spark, path, "no such article").count() == 0
+
+
+def test_a_hot_article_may_be_in_several_files(spark, tmp_path):
+    edges = spark.range(3000).selectExpr(
+        "if(id % 3 = 0, concat('b', id % 50), 'hot one') as article", "concat('t', id) as target", "1L as cnt",
+        "timestamp_ntz'2020-01-01 00:00:00' as valid_from", "timestamp_ntz'2020-01-02 00:00:00' as valid_to",
+    )
+    path = str(tmp_path / "hot")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "700")
+    try:
+        W.write_edges(edges, path, layout="article", buckets=2)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    places = W.article_manifest(spark, path).filter("article = 'hot one'").collect()
+    assert len(places) > 1 and sum(p.n_rows for p in places) == 2000
+    assert W.read_article(spark, path, "hot one").count() == 2000
 
 
 def test_existing_output_is_not_overwritten(edges, tmp_path):
