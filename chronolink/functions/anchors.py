@@ -13,7 +13,7 @@ HTML_ANCHOR = rf"(?is){_OPEN}.*?</a\s*>"
 HTML_LABEL = rf"(?is)^{_OPEN}(.*)</a\s*>$"
 HTML_TAG = r"<[^>]*>"
 # No markup is read inside comments, scripts and style sheets; one that is not closed goes on to the end.
-HTML_HIDDEN = rf"<!--.*?(?:-->|\z)|<(?<code>script|style)(?=[\s/>]){_IN_TAG}>.*?(?:</\k<code>\s*>|\z)"
+HTML_HIDDEN = rf"<(?:!--.*?(?:-->|\z)|(?<code>script|style)(?=[\s/>]){_IN_TAG}>.*?(?:</\k<code>\s*>|\z))"
 HTML_MAY_HIDE = r"(?i)<(?:!--|script|style)"
 # One attribute of a tag, in double, single or no quotes.
 _VALUE = r"""("[^"]*+"|'[^']*+'|[^\s"'>]++)"""
@@ -74,7 +74,7 @@ def without_anchors(text: Column | str, kind: str) -> Column:
         return F.regexp_replace(F.regexp_replace(shown, WIKI_ANCHOR, ""), WIKI_ANCHOR, "")
     text = F.col(text) if isinstance(text, str) else text
     # Hidden stretches are matched first and put back as they are.
-    both = F.regexp_replace(text, rf"(?is)({HTML_HIDDEN})|(?:{HTML_ANCHOR})", "$1")
+    both = F.regexp_replace(text, rf"(?is)(?=<[!as])(?:({HTML_HIDDEN})|{HTML_ANCHOR})", "$1")
     return F.when(text.rlike(HTML_MAY_HIDE), both).otherwise(F.regexp_replace(text, HTML_ANCHOR, ""))
 
 

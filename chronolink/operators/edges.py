@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.sequence import HOT_ROWS, number_rows_checked
+from ..plans.sequence import HOT_ROWS, number_rows_split
 
 EDGE = ["article", "target", "cnt"]
 
@@ -26,7 +26,7 @@ def temporal_edges(
     ``revisions`` is ``(article, rev_id, ts)`` with every revision, also those without links;
     ``links`` is ``(article, rev_id, target, cnt)`` with targets unique per revision.
     """
-    ordered, hot = number_rows_checked(
+    cold, hot, articles = number_rows_split(
         revisions.select("article", "rev_id", "ts"),
         ["article"],
         ["ts", "rev_id"],
@@ -34,8 +34,12 @@ def temporal_edges(
         hot_rows=hot_rows,
         also=links,
     )
-    placed = links.join(ordered, ["article", "rev_id"])
-    return _runs(placed, hot_rows if hot else None, include_open)
+    keys = ["article", "rev_id"]
+    if hot is None:
+        return _runs(links.join(cold, keys), None, include_open)
+    cold = links.join(articles, "article", "left_anti").join(cold, keys)
+    hot = links.join(articles, "article", "left_semi").join(hot, keys)
+    return _runs(cold, None, include_open).unionByName(_runs(hot, hot_rows, include_open))
 
 
 def temporal_edges_from_arrays(
@@ -45,7 +49,7 @@ def temporal_edges_from_arrays(
 
     The array travels with its revision, so the join of links and revisions falls away.
     """
-    ordered, hot = number_rows_checked(
+    cold, hot, _ = number_rows_split(
         rev_links.select("article", "rev_id", "ts", "links"),
         ["article"],
         ["ts", "rev_id"],
@@ -53,15 +57,16 @@ def temporal_edges_from_arrays(
         hot_rows=hot_rows,
         weight=1 + F.greatest(F.coalesce(F.size("links"), F.lit(0)), F.lit(0)),
     )
-    placed = ordered.select("article", "seq", "ts", "next_ts", F.inline("links"))
-    return _runs(placed, hot_rows if hot else None, include_open)
+    placed = [F.col("article"), F.col("seq"), F.col("ts"), F.col("next_ts"), F.inline("links")]
+    edges = _runs(cold.select(*placed), None, include_open)
+    return edges if hot is None else edges.unionByName(_runs(hot.select(*placed), hot_rows, include_open))
 
 
 def _runs(placed: DataFrame, slice_revs: int | None, include_open: bool) -> DataFrame:
     """Join consecutive ``seq`` of the same edge into runs.
 
-    With ``slice_revs`` a history is cut into slices of that many revisions. Runs are built inside
-    each slice; only those that touch a cut, at most two per slice, are joined across slices.
+    With ``slice_revs``, for hot articles, a history is cut into slices of that many revisions. Runs are built
+    inside each slice; only those that touch a cut, at most two per slice, are joined across slices.
     """
     seq = F.col("seq")
     bounds = [

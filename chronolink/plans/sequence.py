@@ -48,24 +48,40 @@ def number_rows_checked(
     The check is one pre-aggregated count that brings a single number to the driver. ``df`` is
     evaluated more than once, so hand over a table or a staged result, not a dump scan.
     """
-    lead = dict(lead or {})
     if not keys:
-        return _number_by_range(df, [], order, lead), True
+        return _number_by_range(df, [], order, dict(lead or {})), True
+    cold, hot, _ = number_rows_split(df, keys, order, lead=lead, hot_rows=hot_rows, weight=weight, also=also)
+    return (cold, False) if hot is None else (cold.unionByName(hot), True)
+
+
+def number_rows_split(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    *,
+    lead: Mapping[str, str] | None = None,
+    hot_rows: int = HOT_ROWS,
+    weight: Column | None = None,
+    also: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+    """As ``number_rows_checked``, with the rows of other keys, the rows of hot keys and the hot keys apart.
 
+    The last two are None where no key is hot, so that what is done for hot keys is done to their rows only.
+    """
+    lead = dict(lead or {})
     counted = df.select(*keys, (F.lit(1) if weight is None else weight).cast("long").alias("_rows"))
     if also is not None:
         counted = counted.unionByName(also.select(*keys, F.lit(1).cast("long").alias("_rows")))
     sizes = counted.groupBy(*keys).agg(F.sum("_rows").alias("_rows"))
     largest = sizes.agg(F.max("_rows")).first()[0] or 0
     if largest <= hot_rows:
-        return _number_by_window(df, keys, order, lead), False
+        return _number_by_window(df, keys, order, lead), None, None
 
     # At most (all rows / hot_rows) keys are hot. The table is staged, so Spark knows its size and
     # broadcasts it only below spark.sql.autoBroadcastJoinThreshold.
     hot = stage(sizes.filter(F.col("_rows") > hot_rows).select(*keys), "hot-keys")
     cold_rows = _number_by_window(df.join(hot, list(keys), "left_anti"), keys, order, lead)
-    hot_rows_df = _number_by_range(df.join(hot, list(keys), "left_semi"), keys, order, lead)
-    return cold_rows.unionByName(hot_rows_df), True
+    return cold_rows, _number_by_range(df.join(hot, list(keys), "left_semi"), keys, order, lead), hot
 
 
 def _number_by_window(df, keys, order, lead):
@@ -75,21 +91,25 @@ def _number_by_window(df, keys, order, lead):
     return df.withColumns(added)
 
 
+def sorted_ranges(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The table sorted into ranges and written, with ``_id``, ``_range`` and ``_at``, the position from 0 in the range.
+
+    ``_id`` has the documented layout: the range above, the position in the low 33 bits. It rises with the order, so a
+    filter on it reads only files and row groups that it fits.
+    """
+    ranges = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return stage(ranges.withColumn("_id", F.monotonically_increasing_id()), "ranges").withColumns(
+        {"_range": F.shiftright("_id", 33), "_at": F.col("_id").bitwiseAND((1 << 33) - 1)}
+    )
+
+
 def _number_by_range(df, keys, order, lead):
     """Sort by (keys, order) into ranges, number inside each range, then add what precedes it.
 
     The ranges are cut by sampling, so they are written down before two branches rely on them.
     No task holds more than one range, however large a key is.
     """
-    # The documented layout of the id: partition above, position in the partition in the low 33 bits.
-    ranges = stage(
-        df.repartitionByRange(*keys, *order)
-        .sortWithinPartitions(*keys, *order)
-        .withColumn("_id", F.monotonically_increasing_id()),
-        "ranges",
-    ).withColumns(
-        {"_range": F.shiftright("_id", 33), "_at": F.col("_id").bitwiseAND((1 << 33) - 1)}
-    )
+    ranges = sorted_ranges(df, [*keys, *order])
     group = ["_range", *keys]
 
     first_values = F.struct(F.lit(1).alias("_"), *[F.col(c).alias(n) for n, c in lead.items()])
