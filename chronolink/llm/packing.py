@@ -43,6 +43,8 @@ NULL_ID = -(1 << 63)
 REMEMBERED = 1_200_000
 #: Characters looked at together.
 SPAN = 1 << 20
+#: Words encoded as one text.
+JOINED = 1 << 12
 #: Tasks that read files back, one for each file up to this.
 MAX_TASKS = 20_000
 
@@ -66,19 +68,40 @@ class Encoder:
 
             path = public_tokenizers.path(TOKENIZER)
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # a text that names a special token is ordinary text
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.type = "<u2" if self.size <= 1 << 16 else "<u4"
         self.known: dict[str, bytes] = {}
+        # The tokenizer takes added tokens out of a text first, so one that names any is not cut.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        space = self.tokenizer.encode(" ", add_special_tokens=False).tokens[0]
+        names = (self.tokenizer.id_to_token(i) or "" for i in range(self.size))
+        self.after_space = np.array([n.startswith(space) for n in names])
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
+    def _arrays(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype=self.type).tobytes() for x in found]
+        return [np.array(x.ids, dtype=self.type) for x in found]
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Ids of new pieces. Words with one space before them are encoded as one text and cut where an id has a space."""
+        words = [p for p in pieces if p[0] == " " and p[1:].isalpha()]
+        for at in range(0, len(words), JOINED):
+            some = words[at : at + JOINED]
+            (ids,) = self._arrays(["".join(some)])
+            starts = np.flatnonzero(self.after_space[ids])
+            if len(starts) == len(some):
+                raw, ends = ids.tobytes(), [*(starts[1:] * ids.itemsize).tolist(), ids.nbytes]
+                begins = [0, *ends[:-1]]
+                self.known.update((w, raw[a:b]) for w, a, b in zip(some, begins, ends, strict=True))
+        others = [p for p in pieces if p not in self.known]
+        self.known.update((p, ids.tobytes()) for p, ids in zip(others, self._arrays(others), strict=True))
+
+    def _is_sure(self, text: str) -> bool:
+        return not _UNSURE.search(text) and not any(token in text for token in self.added)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         spans, owner = [], []
         for n, text in enumerate(texts):
-            for span in _spans(text):
+            for span in _spans(text) if self._is_sure(text) else [text]:
                 spans.append(span)
                 owner.append(n)
         out: list[list[bytes]] = [[] for _ in texts]
@@ -97,18 +120,18 @@ class Encoder:
         if len(self.known) > REMEMBERED:
             self.known.clear()
         # Where pieces are not sure, the whole is the only piece.
-        pieces = [[s] if _UNSURE.search(s) else _PIECES.findall(s) for s in spans]
+        pieces = [_PIECES.findall(s) if self._is_sure(s) else [s] for s in spans]
         new = list(set(chain.from_iterable(pieces)).difference(self.known))
-        self.known.update(zip(new, self._ids(new), strict=True))
+        if new:
+            self._learn(new)
         return [b"".join(map(self.known.__getitem__, p)) for p in pieces]
 
 
 def _spans(text: str) -> Iterator[str]:
     at = 0
-    if not _UNSURE.search(text):
-        while len(text) - at > SPAN and (m := _CUT.search(text, at + SPAN)):
-            yield text[at : m.end()]
-            at = m.end()
+    while len(text) - at > SPAN and (m := _CUT.search(text, at + SPAN)):
+        yield text[at : m.end()]
+        at = m.end()
     if at < len(text):
         yield text[at:] if at else text
 

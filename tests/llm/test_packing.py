@@ -12,9 +12,7 @@ from chronolink.llm import packing
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
 
 
 @settings(max_examples=80, deadline=None)
@@ -49,6 +47,17 @@ def test_pieces_are_encoded_as_the_whole(tokenizer, text):
     assert got.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", ["a <|endoftext|> b", "<|endoftext|>", " <|endoftext|>\n\nword, <|endoftext|", "x" * 2_000_000 + " <|endoftext|> y"])
+def test_texts_with_added_tokens(tokenizer, text):
+    assert packing.encoder(None).encode([text, "a b"])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert 50256 in packing.encoder(None).encode([text])[0] or not text.endswith("|>")
+
+
+def test_many_words_at_once(tokenizer):
+    text = " ".join(f"{chr(97 + n % 26) * (n % 5 + 1)}{'äéñ'[n % 3]}w{'Ġ' * (n % 2)}{n:x}".translate(str.maketrans("0123456789", "ghijklmnop")) for n in range(20_000))
+    assert packing.Encoder(None).encode([text])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_long_text(tokenizer):
     text = "some words, and more of them.\n" * 80_000
     assert packing.encoder(None).encode([text])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
