@@ -81,7 +81,7 @@ def _scan(docs: DataFrame, known: list) -> DataFrame:
     return docs.withColumn("_p", F.expr(at_anchor)).withColumn("_hits", F.expr(f"concat({', '.join(found)})")).drop("_p")
 
 
-def find(
+def _find(
     docs: DataFrame,
     items: DataFrame,
     *,
@@ -91,14 +91,15 @@ def find(
     item_text: str = "text",
     size: int = WINDOW,
     max_broadcast: int = MAX_BROADCAST,
-) -> DataFrame:
-    """Per document: ``n_words``, ``n_hit``, ``n_items``, ``items`` (sorted as strings), ``spans``, ``contaminated``.
+) -> tuple[DataFrame, DataFrame]:
+    """``find`` in two tables: documents with their ``sets`` of items, and the items of every combination of sets.
 
-    ``spans`` are stretches (start, length) in words, as they were found. A null or empty text has no words
-    and is clean; items without words have no windows. Repeated rows each get their result. An empty
-    table gives an empty table, and without test items every document is clean. Other columns are ignored.
+    Windows that the same items have share a numbered set. A hit carries that number only, and what items a combination
+    of sets comes to is worked out once, however many documents have it.
     """
     test = stage(windows(items, id=item_id, text=item_text, size=size), "test-windows")
+    sets = stage(test.select("items").distinct().withColumn("set", F.monotonically_increasing_id()), "item-sets")
+    numbered = test.join(sets, "items").select("words", "len", "set")
     plain = docs.select(
         F.col(id).alias("_id"), F.xxhash64(F.col(text)).alias("_text_hash"), words_of(F.col(text)).alias("_w")
     )
@@ -108,6 +109,7 @@ def find(
             _scan(plain, known).select(*_KEY, F.size("_w").cast("long").alias("n_words"), "_hits"), "scanned"
         )
         hits = scanned.select(*_KEY, F.explode("_hits").alias("_hit"))
+        numbered = F.broadcast(numbered)
     else:
         lengths = [r["len"] for r in test.select("len").distinct().collect()]  # `size` rows at most
         scanned = stage(plain.select(*_KEY, F.size("_w").cast("long").alias("n_words")), "scanned")
@@ -116,12 +118,9 @@ def find(
         hits = plain.select(*_KEY, F.explode(F.expr(f"concat({every})")).alias("_hit"))
     found = (
         hits.select(*_KEY, "_hit.*")
-        .join(test.select("words", "len", "items"), ["words", "len"])
+        .join(numbered, ["words", "len"])
         .groupBy(*_KEY)
-        .agg(
-            F.collect_set(F.struct("at", "len")).alias("spans"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
-        )
+        .agg(F.collect_set(F.struct("at", "len")).alias("spans"), F.sort_array(F.collect_set("set")).alias("sets"))
         .withColumnsRenamed({"_id": "_id2", "_text_hash": "_hash2"})
     )
     hit_words = "size(array_distinct(flatten(transform(spans, s -> sequence(s.at, s.at + s.len - 1)))))"
@@ -129,35 +128,78 @@ def find(
         found, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_text_hash") == F.col("_hash2")), "left"
     )
     n_hit = F.when(F.col("spans").isNull(), 0).otherwise(F.expr(hit_words)).cast("long")
-    none = F.array()
-    return joined.select(
+    judged = joined.select(
         F.col("_id").alias(id),
         "_text_hash",
         "n_words",
         n_hit.alias("n_hit"),
-        F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
-        F.coalesce("items", none.cast("array<string>")).alias("items"),
-        F.coalesce("spans", none.cast("array<struct<at:int,len:int>>")).alias("spans"),
+        F.coalesce("sets", F.array().cast("array<bigint>")).alias("sets"),
+        F.coalesce("spans", F.array().cast("array<struct<at:int,len:int>>")).alias("spans"),
     ).withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * HIT_SHARE >= F.col("n_words")))
+    judged = stage(judged, "judged-documents")
+    members = sets.select("set", F.explode("items").alias("item"))
+    combinations = (
+        judged.select("sets")
+        .distinct()
+        .select("sets", F.explode("sets").alias("set"))
+        .join(members, "set")
+        .groupBy("sets")
+        .agg(F.array_sort(F.collect_set("item")).alias("items"))
+        .withColumnRenamed("sets", "_sets")
+    )
+    return judged, stage(combinations, "item-combinations")
+
+
+_NO_ITEMS = "cast(array() as array<string>)"
+
+
+def find(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
+    """Per document: ``n_words``, ``n_hit``, ``n_items``, ``items`` (sorted as strings), ``spans``, ``contaminated``.
+
+    ``spans`` are stretches (start, length) in words, as they were found. A null or empty text has no words
+    and is clean; items without words have no windows. Words of an item with a null id are hits, but it is neither
+    counted nor listed. Repeated rows each get their result. An empty table gives an empty table, and without test items
+    every document is clean. Other columns are ignored.
+    """
+    judged, combinations = _find(docs, items, **options)
+    listed = judged.join(combinations, F.col("sets") == F.col("_sets"), "left").withColumn(
+        "items", F.expr(f"coalesce(items, {_NO_ITEMS})")
+    )
+    return listed.select(
+        judged.columns[0],
+        "_text_hash",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        "items",
+        "spans",
+        "contaminated",
+    )
 
 
 def clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The documents that are not contaminated, with their own columns."""
     id, text = options.get("id", "doc_id"), options.get("text", "text")
-    bad = find(docs, items, **options).filter("contaminated")
+    bad = _find(docs, items, **options)[0].filter("contaminated")
     bad = bad.select(F.col(id).alias("_id"), "_text_hash").distinct()
     same = docs[id].eqNullSafe(bad["_id"]) & (F.xxhash64(docs[text]) == bad["_text_hash"])
     return docs.join(bad, same, "left_anti")
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
-    return found.select(
+    judged, combinations = _find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    # The list of a combination is digested once; documents get the digest.
+    digests = combinations.select(
+        "_sets",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+    )
+    return judged.join(digests, F.col("sets") == F.col("_sets"), "left").select(
         "doc_id",
         "n_words",
         "n_hit",
-        "n_items",
-        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
+        F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"),
         "contaminated",
     )
 

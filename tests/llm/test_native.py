@@ -137,6 +137,36 @@ def test_windows(spark, table, items, most):
     assert sorted(got, key=str) == brute(DOCS, items)
 
 
+@pytest.mark.parametrize("most", [10**6, 10])
+def test_an_item_without_an_id(table, most):
+    words = " ".join(f"w{n}" for n in range(20))
+    docs = table([(1, words), (2, "w1 w2"), (3, "short item")], "doc_id long, text string")
+    items = table([(None, words), (7, "short item"), (8, None)], "item_id long, text string")
+    rows = decontaminate.find(docs, items, max_broadcast=most).collect()
+    got = sorted((r["doc_id"], r["n_hit"], r["n_items"], r["items"]) for r in rows)
+    assert got == [(1, 20, 0, []), (2, 0, 0, []), (3, 2, 1, ["7"])]
+
+
+def test_a_passage_that_many_items_share(table):
+    """Work is in proportion to documents and items, not to their product."""
+    passage = " ".join(f"p{n}" for n in range(60))
+    items = table([(n, f"{passage} end{n} " + " ".join(f"q{n}x{k}" for k in range(15))) for n in range(3000)], "item_id long, text string")
+    docs = table([(n, f"{passage} own{n % 5}") for n in range(4000)], "doc_id long, text string")
+    judged, combinations = decontaminate._find(docs, items)
+    assert combinations.count() == 1
+    assert combinations.selectExpr("size(items) as n").first()["n"] == 3000
+    assert [tuple(r) for r in judged.select("n_hit", "contaminated").distinct().collect()] == [(60, True)]
+    assert judged.count() == 4000
+
+
+def test_a_very_long_document(table):
+    passage = " ".join(f"p{n}" for n in range(20))
+    text = "filler words here " * 340_000 + passage + " and more" * 5
+    docs = table([(1, text)], "doc_id long, text string")
+    (row,) = decontaminate.find(docs, table([(5, passage)], "item_id long, text string")).collect()
+    assert (row["n_words"], row["n_hit"], row["items"], row["contaminated"]) == (1_020_030, 20, ["5"], False)
+
+
 def test_clean(table):
     docs = table([(*d, "x", 1) for d in DOCS], "doc_id long, text string, _id string, contaminated int")
     kept = decontaminate.clean(docs, table(ITEMS[:1], "item_id long, text string"))
