@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -247,37 +248,37 @@ def near_duplicates(
 ) -> DataFrame:
     """Per vector ``vec_id``, ``n_links``, ``component_id`` (smallest id reachable by links) and ``kept``.
 
-    Vectors that are null, empty, zero or hold null or non-finite numbers are linked with nothing, and so are those of
-    another length than most or without an id. Rows that share an id are vectors of their own, named alike. An empty
-    table gives an empty table; other columns are ignored.
+    Vectors that are null, empty, zero or hold null or non-finite numbers or have no id are linked with nothing. Only
+    vectors of equal length are compared, each length with a tree of its own. Rows that share an id are vectors of their own,
+    named alike. An empty table gives an empty table; other columns are ignored.
     """
     spark = vectors.sparkSession
     plain = vectors.select(F.col(id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"))
     usable = F.expr("vec_id is not null and forall(vector, x -> x is not null)")
     plain = plain.withColumn("vector", F.when(usable, F.col("vector")))
     rows = stage(plain.mapInArrow(_prepare, "vec_id long, digest binary, v binary"), "vectors")
-    lengths = rows.filter("v is not null").groupBy(F.octet_length("v").alias("l"))
-    most = lengths.agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "l").limit(1).collect()
-    length = most[0]["l"] if most else 0
+    # Equal vectors are one class. Its number, not an id that other rows may have too, names it among links.
     classes = stage(
-        rows.filter(F.octet_length("v") == length)
+        rows.filter("v is not null")
         .groupBy("digest")
-        .agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("count"), F.first("v").alias("v")),
+        .agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("count"), F.first("v").alias("v"))
+        .withColumns({"node": F.monotonically_increasing_id(), "length": F.octet_length("v")}),
         "vector-classes",
     )
-    found = stage(_linked(spark, classes, cosine), "vector-links")
+    lengths = [r["length"] for r in classes.select("length").distinct().orderBy("length").collect()]
+    links = [_linked(spark, classes.filter(F.col("length") == n), cosine) for n in lengths]
+    none = spark.range(0).selectExpr("id as node", "id as n", "id as mate")
+    found = stage(reduce(DataFrame.unionByName, links, none), "vector-links")
 
     totals = found.groupBy("node").agg(F.sum("n").alias("n"))
     joined = components(found.select(F.col("node").alias("a"), F.col("mate").alias("b")))
+    members = classes.select("digest", "node", "count", "vec_id").join(joined, "node", "left")
+    members = members.withColumn("component", F.coalesce("component", "node"))
+    names = members.groupBy("component").agg(F.min("vec_id").alias("component_id"))
     summary = (
-        classes.select("digest", "node", "count")
-        .join(totals, "node", "left")
-        .join(joined, "node", "left")
-        .select(
-            "digest",
-            (F.coalesce("n", F.lit(0)) + F.col("count") - 1).alias("n_links"),
-            F.coalesce("component", "node").alias("component_id"),
-        )
+        members.join(totals, "node", "left")
+        .join(names, "component")
+        .select("digest", (F.coalesce("n", F.lit(0)) + F.col("count") - 1).alias("n_links"), "component_id")
     )
     result = rows.select("vec_id", "digest").join(summary, "digest", "left")
     component = F.coalesce("component_id", "vec_id")

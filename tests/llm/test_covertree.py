@@ -89,6 +89,22 @@ def test_unusable_vectors(table):
     assert got[None] == (0, None, True)
 
 
+def test_all_lengths(table):
+    rows = [(1, [1.0, 0.0]), (2, [1.0, 0.1]), (3, [0.0, 1.0]), (4, [1.0, 0.0, 0.0]), (5, [1.0, 0.0, 0.0]), (6, [2.0])]
+    rows += [(7, [3.0]), (8, [-1.0]), (9, [1.0, 0.0, 0.0, 0.0])]
+    got = run(table(rows, "vec_id long, embedding array<double>"))
+    assert got == {
+        1: (1, 1, True), 2: (1, 1, False), 3: (0, 3, True), 4: (1, 4, True), 5: (1, 4, False), 6: (1, 6, True),
+        7: (1, 6, False), 8: (0, 8, True), 9: (0, 9, True),
+    }
+
+
+def test_rows_that_share_an_id_are_vectors_of_their_own(table):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (3, [0.01, 1.0]), (1, [1.0, 0.0])]
+    found = covertree.near_duplicates(table(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted(tuple(r) for r in found) == [(1, 1, 1, True), (1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 1, 1, False)]
+
+
 def test_empty_table(table):
     assert run(table([], "vec_id long, embedding array<float>")) == {}
 
