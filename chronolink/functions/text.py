@@ -13,6 +13,12 @@ XML_ENTITIES = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
 # The HTML 4 entities, as the standard library lists them.
 HTML_ENTITIES = {name: chr(code) for name, code in name2codepoint.items()}
 
+# From so many literals on, a text is looked through once for all of them.
+MANY_LITERALS = 256
+# Bytes of a run whose places are sorted, and halvings that find one among the places of a text of up to 2 GB.
+GRAM = 4
+HALVINGS = 32
+
 # A date, with or without a time, and no time zone after it.
 ZONELESS = r"^\s*[+-]?[0-9-]+([ T][0-9:.]*)?\s*$"
 
@@ -64,21 +70,74 @@ def escape_xml(text: Column | str) -> Column:
     return escaped
 
 
-def literal_counts(text: str, literals: Column | str) -> Column:
+def literal_counts(text: str, literals: Column | str, *, many: int = MANY_LITERALS) -> Column:
     """How often each of an array of literals occurs in the text, as ``ARRAY<BIGINT>``.
 
     Case-sensitive, non-overlapping, no word boundary: ``The`` is also found in ``Then``. An empty literal
     or a null text counts 0. ``text`` names a column, as an expression would be worked out for every literal.
+
+    For ``many`` literals or more the text is looked through once: the places of all its runs of four bytes are sorted,
+    and a literal is compared only where its first four bytes stand. So the cost is the text and what is found,
+    not the text for each literal.
     """
     text = F.col(text)
+    literals = F.col(literals) if isinstance(literals, str) else literals
+    last = F.octet_length(text) - GRAM + 1
 
-    def count(literal: Column) -> Column:
+    def sorted_places(raw: Column) -> Column:
+        places = F.transform(
+            F.sequence(F.lit(1), last),
+            lambda at: F.shiftleft(F.hash(F.substring(raw, at, F.lit(GRAM))).cast("long"), 32) + at,
+        )
+        return F.when((F.size(literals) >= many) & (last > 0), F.sort_array(places))
+
+    def count(literal: Column, held: Column) -> Column:
         quoted = F.concat(F.lit(r"\Q"), F.replace(literal, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
         # Most literals of a text are not in it, and a look for one is much cheaper than cutting at it.
         there = (literal != "") & F.contains(text, literal)
-        return F.when(there, F.size(F.split(text, quoted, F.lit(-1))) - 1).otherwise(0).cast("long")
-
-    return F.coalesce(F.transform(literals, count), F.array().cast("array<bigint>"))
+        one_by_one = F.when(there, F.size(F.split(text, quoted, F.lit(-1))) - 1).otherwise(0).cast("long")
+        sorted_enough = held.places.isNotNull() & (F.octet_length(literal) >= GRAM)
+        return F.when(sorted_enough, _count_at(literal.cast("binary"), held)).otherwise(one_by_one)
+
+    # Bytes, and then places, are worked out once per row, as the only element of an array.
+    raws = F.array(text.cast("binary"))
+    once = F.transform(raws, lambda raw: F.struct(raw.alias("raw"), sorted_places(raw).alias("places")))
+    counted = F.get(F.transform(once, lambda held: F.transform(literals, lambda x: count(x, held))), F.lit(0))
+    nothing = F.transform(literals, lambda _: F.lit(0).cast("long"))
+    return F.coalesce(F.when(text.isNull(), nothing).otherwise(counted), F.array().cast("array<bigint>"))
+
+
+def _count_at(literal: Column, held: Column) -> Column:
+    """Non-overlapping occurrences of a literal's bytes, from the sorted places of its first bytes."""
+    low = F.shiftleft(F.hash(F.substring(literal, F.lit(1), F.lit(GRAM))).cast("long"), 32)
+    first, end = _lower_bound(held.places, low), _lower_bound(held.places, low + (1 << 32))
+    length = F.octet_length(literal)
+    none = F.struct(F.lit(0).alias("free"), F.lit(0).cast("long").alias("n"))
+
+    def step(state: Column, number: Column) -> Column:
+        at = F.get(held.places, number).bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+        hit = (at >= state.free) & (F.substring(held.raw, at, length) == literal)
+        return F.when(hit, F.struct((at + length).alias("free"), (state.n + 1).alias("n"))).otherwise(state)
+
+    # Numbers of the places, not a slice of them: that would copy all places for every literal.
+    found = F.when(first < end, F.sequence(first, end - 1))
+    return F.coalesce(F.aggregate(found, none, step, lambda state: state.n), F.lit(0).cast("long"))
+
+
+def _lower_bound(places: Column, value: Column) -> Column:
+    """How many of the sorted numbers are less than the value, by halving."""
+    whole = F.struct(F.lit(0).alias("low"), F.size(places).alias("high"))
+
+    def halve(state: Column, _: Column) -> Column:
+        middle = F.shiftright(state.low + state.high, 1)
+        less = F.get(places, middle) < value
+        return (
+            F.when(state.low >= state.high, state)
+            .when(less, F.struct((middle + 1).alias("low"), state.high.alias("high")))
+            .otherwise(F.struct(state.low.alias("low"), middle.alias("high")))
+        )
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(HALVINGS)), whole, halve, lambda state: state.low)
 
 
 def file_key(title: Column | str) -> Column:

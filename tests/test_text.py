@@ -1,4 +1,6 @@
 import html
+import random
+import time
 from datetime import datetime
 
 import pytest
@@ -116,3 +118,32 @@ def test_numbers_with_leading_zeros(spark, text):
 
 def test_malformed_time_is_null(spark):
     assert one(spark, T.utc_time(F.col("t")), t="yesterday") is None
+
+
+@pytest.mark.parametrize("many", [0, 10**9])
+def test_many_literals_in_one_pass(spark, many):
+    rng = random.Random(5)
+    rows = []
+    for n in range(40):
+        text = "".join(rng.choices("abé漢 \n", k=rng.choice([0, 1, 3, 30, 400])))
+        cuts = [text[i : i + rng.randint(1, 9)] for i in range(0, len(text), 3)]
+        rows.append((text if n else None, ["", "aaaa", "abab", "漢", "none of it", *cuts, *cuts[:2]]))
+    df = spark.createDataFrame(rows, "t string, x array<string>")
+    got = [r[0] for r in df.select(T.literal_counts("t", "x", many=many)).collect()]
+    assert got == [[(text or "").count(x) if x else 0 for x in literals] for text, literals in rows]
+
+
+def test_cost_of_many_literals_is_not_a_look_at_the_text_for_each(spark):
+    rng = random.Random(6)
+    words = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(4, 9))) for _ in range(12_000)]
+    text = " ".join(rng.choices(words, k=70_000))
+    targets = [" ".join(rng.sample(words, 2)) for _ in range(9_000)] + words[:1000]
+    df = spark.createDataFrame([(text, targets)], "t string, x array<string>").persist()
+    df.count()
+    seconds = {}
+    for many in (0, 10**9):
+        start = time.perf_counter()
+        counts = df.select(T.literal_counts("t", "x", many=many)).first()[0]
+        seconds[many] = time.perf_counter() - start
+        assert counts[-1000:] == [text.count(w) for w in words[:1000]]
+    assert seconds[0] < seconds[10**9] / 2, seconds
