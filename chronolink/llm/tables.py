@@ -15,6 +15,15 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def share_workers(spark: SparkSession) -> None:
+    """Let all Python work of the session run in the same workers.
+
+    An executor keeps its workers, some 200 MB each, in a pool per environment. Short tracebacks are a setting that
+    reaches the environment of some kinds of Python work only, which makes two pools and twice the workers.
+    """
+    spark.conf.set("spark.sql.execution.pyspark.udf.simplifiedTraceback.enabled", "false")
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only; other letters stay."""
     return F.translate(text, UPPER, UPPER.lower())

@@ -90,3 +90,13 @@ def test_same_as_sql(spark, name):
 
 def test_all_ten_are_there():
     assert [next(n for n in QUERIES if n.startswith(f"op{k}_")) for k in range(1, 11)]
+
+
+def test_run_frees_what_its_stages_staged(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr("chronolink.plans.staging.staging_root", lambda _: str(tmp_path / "staged"))
+    result = corpus_pipeline.run(spark, SF_DIR)
+    names = {p.name.rsplit("-", 1)[0] for p in (tmp_path / "staged").iterdir()}
+    results = {name for name, _ in corpus_pipeline.STAGES[:-1]}
+    # The last stage is still to be read.
+    assert results <= names and not names & {"language-words", "scanned", "test-windows", "edges", "picks"}
+    assert result.count() > 100
