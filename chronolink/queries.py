@@ -183,7 +183,7 @@ def edge_sink_roundtrip(spark, sf_dir):
 
 def edge_article_sink(spark, sf_dir):
     path = new_path(spark, "article-edges")
-    write_edges(temporal_edges(spark, sf_dir), path, layout="article", format="text")
+    write_edges(temporal_edges(spark, sf_dir), path, layout="article", format="text", buckets=16)
     return spark.read.text(path).select("value")
 
 

@@ -91,7 +91,7 @@ def scan_blocks(
         "chunks",
     )
     placed, closed = _with_places(chunks.drop("chunk"), len(start_tag.encode()))
-    closed = stage(closed, "closed-files")
+    closed = F.broadcast(closed)  # a row per file, whose list the driver has anyway
     placed = stage(placed.join(closed, "file").filter(_IN_BLOCK), "places")
     rows = _texts_in_blocks(chunks, closed).join(
         placed.select("file", "pos", "_offset", "_run", "_alone"), ["file", "pos"]
