@@ -1,4 +1,7 @@
+import math
 import re
+import zlib
+from collections import Counter
 
 import pytest
 
@@ -107,3 +110,60 @@ def test_memory_of_words_may_run_full(model, monkeypatch):
     monkeypatch.setattr(language, "REMEMBERED", 40)
     scores = language._Scores(model)
     assert [scores.predict(t) for t in texts] == want
+
+
+def brute(rows, learned):
+    """lang_pred and score of each (id, text) from (lang, text) rows, in plain Python by the docstring of the module."""
+    words, grams = {}, {}
+    for lang, text in learned:
+        for word in re.findall(r"[^\W\d_]+", text.lower()):
+            words.setdefault(lang, Counter())[word] += 1
+    for lang, own in words.items():
+        for word, n in own.items():
+            for size in (5, 4, 3, 2, 1):
+                marked = word if size == 1 else f" {word} "
+                for k in range(len(marked) - size + 1):
+                    grams.setdefault(size, {}).setdefault(lang, Counter())[marked[k : k + size]] += n
+    langs = sorted(words)
+
+    def entries(counts, share):
+        sums = {lang: sum(own.values()) for lang, own in counts.items()}
+        kept = {e for lang, own in counts.items() for e, n in own.items() if n >= sums[lang] * share}
+        return {
+            e: [math.log(max(counts.get(g, {}).get(e, 0) / (sums.get(g, 0) + 1.0), 1e-2 * share)) for g in langs] for e in kept
+        }
+
+    known, tables = entries(words, 2e-5), {size: entries(own, 5e-5) for size, own in grams.items()}
+    out = {}
+    for doc_id, text in rows:
+        total, n = [0.0] * len(langs), 0
+        for word in re.findall(r"[^\W\d_]+", (text or "").lower()):
+            n += 1
+            scores = known.get(word)
+            for step, size in enumerate((5, 4, 3, 2, 1), 1):
+                if scores is not None:
+                    break
+                marked = word if size == 1 else f" {word} "
+                parts = [marked[k : k + size] for k in range(len(marked) - size + 1)]
+                found = [tables[size][p] for p in parts if p in tables.get(size, {})]
+                if found:
+                    scores = [0.7**step * sum(x) / len(found) for x in zip(*found)]
+            total = [t + s for t, s in zip(total, scores or [0.0] * len(langs))]
+        if not n:
+            out[doc_id] = ("und", 0.0)
+            continue
+        odds = [math.exp((t - max(total)) / math.sqrt(n)) for t in total]
+        out[doc_id] = (langs[odds.index(max(odds))], max(odds) / sum(odds))
+    return out
+
+
+def test_scores_of_the_query_against_brute_force(spark):
+    path = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text", "lang").collect()
+    held = {d: zlib.crc32(str(d).encode()) % 5 == 0 for d, _, _ in docs}
+    want = brute([(d, t) for d, t, _ in docs], [(lang, t) for d, t, lang in docs if t and lang and not held[d]])
+    got = {r["doc_id"]: r for r in language.op1_language(spark, path).collect()}
+    assert got.keys() == want.keys()
+    for doc_id, (lang, score) in want.items():
+        assert (got[doc_id]["lang_pred"], got[doc_id]["held_out"]) == (lang, held[doc_id])
+        assert got[doc_id]["score"] == pytest.approx(score, abs=1e-9)
