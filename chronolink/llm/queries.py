@@ -25,4 +25,5 @@ ORACLES = {
     "op6_url_filters": urls.ORACLE,
     "op8_decontamination": decontaminate.ORACLE,
     "op11_lexical_search": search.ORACLE,
+    "op13_conversation_repair": repair.ORACLE,
 }

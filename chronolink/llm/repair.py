@@ -491,3 +491,106 @@ def _illegal(before: Column, after: Column) -> Column:
 
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair(damage(read(spark, sf_dir, "conversations")))
+
+
+# The same in SQL, by a plain automaton over the last role: e at the start, s, u and a after that role. A state holds its
+# least cost, in twelve digits, and audit as one string, so that the least string is the least (cost, audit).
+_MORE = "printf('%012d', cast({0}[1:12] as bigint) + {1}) || {0}[13:] || '{2}'"
+
+
+def _oracle() -> str:
+    def more(state: str, cost: str, edit: str) -> str:
+        return _MORE.format(state, cost, edit)
+
+    def inserted(state: str) -> str:
+        return more(state, "5", "I")
+
+    cut = "case when truncated then 5 else 0 end"
+    moves = {
+        "e": [(more("e2", "2", "D"), "true")],
+        "s": [(more("s2", "2", "D"), "true"), (more("e2", cut, "K"), "keeps and initial = 's'")],
+        "u": [(more("u2", "2", "D"), "true")],
+        "a": [(more("a2", "2", "D"), "true")],
+    }
+    for before, after in (("e2", "u"), ("s2", "u"), ("a2", "u"), ("u2", "a")):
+        moves[after] += [
+            (more(before, cut, "K"), f"keeps and initial = '{after}'"),
+            (more(before, f"1 + {cut}", "R"), f"keeps and initial <> '{after}'"),
+        ]
+    steps = ",\n    ".join(
+        f"least({', '.join(f'case when {when} then {to} end' for to, when in ways)}) as {state}" for state, ways in moves.items()
+    )
+    u2 = f"least(u, {inserted('e')}, {inserted('s')}, {inserted('a')})"
+    return rf"""
+with recursive
+polynomial(i, c, step) as (
+  select i, i, 0 from range(256) t(i)
+  union all
+  select i, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, step + 1 from polynomial where step < 8),
+crc_table as (select list(c order by i) as t from polynomial where step = 8),
+keyed as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as key
+  from conversations),
+checksum(key, place, c) as (
+  select distinct key, 0, cast(4294967295 as bigint) from keyed
+  union all
+  select key, place + 1, xor(c >> 8, t[(xor(c, ascii(key[place + 1])) & 255) + 1]) from checksum, crc_table where place < length(key)),
+kinds as (select key, xor(c, 4294967295) % 20 as kind from checksum where place = length(key)),
+damaged as (
+  select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+    case when kind = 1 then '' when kind = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+    unnest(range(case when kind = 3 then 2 else 1 end)) as copy
+  from keyed join kinds using (key) where kind <> 0),
+ordered as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as seq, left(role, 1) as initial
+  from damaged),
+judged as (
+  select *, regexp_full_match(text, '[\x20\x09-\x0D]*') as is_blank,
+    row_number() over (partition by conv_id, role, text order by seq) > 1 as again,
+    not regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') as is_open,
+    lag(initial) over (partition by conv_id order by seq) as before
+  from ordered),
+faults as (
+  select *, not is_blank and not again as keeps, not is_blank and not again and is_open as truncated from judged),
+conv as (select distinct conv_id from conversations),
+walk(conv_id, seq, e, s, u, a) as (
+  select conv_id, cast(0 as bigint), '000000000000', cast(null as varchar), cast(null as varchar), cast(null as varchar) from conv
+  union all
+  select conv_id, seq, {steps}
+  from (
+    select w.conv_id, f.seq, initial, keeps, truncated, e as e2, s as s2, u2, least(a, {inserted('u2')}) as a2
+    from (select *, {u2} as u2 from walk) w
+    join faults f on f.conv_id is not distinct from w.conv_id and f.seq = w.seq + 1)),
+ended as (
+  select w.conv_id, least(e, a, {inserted(f"least(u, {inserted('e')}, {inserted('s')}, {inserted('a')})")}) as best
+  from walk w join (select conv_id, max(seq) as seq from walk group by conv_id) l
+    on l.conv_id is not distinct from w.conv_id and l.seq = w.seq),
+edits as (
+  select conv_id, cast(best[1:12] as bigint) as cost, best[13:] as audit from ended),
+written(conv_id, audit, place, line, role, lines) as (
+  select conv_id, audit, 0, cast(0 as bigint), '', cast([] as varchar[]) from edits
+  union all
+  select conv_id, audit, place + 1, line + moved, case when edit = 'D' then role else new_role end,
+    case when edit = 'D' then lines else list_append(lines, new_role || ':' || case when edit = 'I' then '' else text end) end
+  from (
+    select w.conv_id, audit, place, w.line, w.role, lines, audit[place + 1] as edit, f.text,
+      case when audit[place + 1] = 'I' then 0 else 1 end as moved,
+      case when audit[place + 1] = 'K' then f.role when w.role[1] = 'u' then 'assistant' else 'user' end as new_role
+    from written w left join faults f on f.conv_id is not distinct from w.conv_id and f.seq = w.line + 1
+    where place < length(audit))),
+counts as (
+  select conv_id, max(turn) - min(turn) + 1 - count(distinct turn) as gaps,
+    count(*) filter (is_blank) as blank, count(*) filter (again and not is_blank) as duplicate,
+    count(*) filter (truncated) as truncated,
+    count(*) filter (before is not null and before || initial not in ('su', 'ua', 'au')) as illegal
+  from faults group by conv_id)
+select e.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+  coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, cost, e.audit,
+  sha256(array_to_string(lines, chr(10))) as repaired_sha256
+from edits e join written w on w.conv_id is not distinct from e.conv_id and w.place = length(e.audit)
+  left join counts c on c.conv_id is not distinct from e.conv_id
+"""
+
+
+ORACLE = _oracle()

@@ -3,6 +3,7 @@ import itertools
 import re
 import zlib
 
+import duckdb
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -180,3 +181,11 @@ def test_query(spark):
     path = "/root/testdata/sf0.01"
     rows = spark.read.parquet(f"{path}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()
     assert results(repair.op13_conversation_repair(spark, path)) == brute([tuple(r) for r in rows])
+
+
+def test_sql_on_odd_rows(spark):
+    rows = [r for r in sample(spark) if r[3] is None or len(r[3]) < 1000]
+    con = duckdb.connect()
+    con.sql("create table conversations (conv_id bigint, turn bigint, role varchar, text varchar)")
+    con.executemany("insert into conversations values (?, ?, ?, ?)", rows)
+    assert {r[0]: tuple(r)[1:] for r in con.sql(repair.ORACLE).fetchall()} == brute(rows)
