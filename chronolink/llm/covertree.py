@@ -337,3 +337,24 @@ def _linked(spark: SparkSession, classes: DataFrame, cosine: float) -> DataFrame
 
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+#: All pairs, and all that links reach.
+ORACLE = f"""
+with recursive vector as (
+  select vec_id, list_transform(e, lambda x: x / length) as e from (
+    select *, sqrt(list_inner_product(e, e)) as length from (
+      select vec_id, cast(embedding as double[]) as e from embeddings
+      where vec_id is not null and len(embedding) > 0
+        and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)))
+  where length > 0),
+link as (
+  select a.vec_id as x, b.vec_id as y from vector a join vector b on a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+    and list_inner_product(a.e, b.e) >= {COSINE}),
+reach(x, y) as (select x, y from link union select reach.x, link.y from reach join link on reach.y = link.x),
+linked as (select x, count(*) as n from link group by x),
+first as (select x, min(y) as y from reach group by x)
+select vec_id, coalesce(n, 0) as n_links, least(vec_id, first.y) as component_id,
+  vec_id = least(vec_id, first.y) as kept
+from embeddings left join linked on linked.x = vec_id left join first on first.x = vec_id
+"""

@@ -21,7 +21,9 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op3_embedding_dedup": covertree.ORACLE,
     "op4_license_scan": licenses.ORACLE,
+    "op5_near_duplicates": setsketch.ORACLE,
     "op6_url_filters": urls.ORACLE,
     "op8_decontamination": decontaminate.ORACLE,
     "op11_lexical_search": search.ORACLE,

@@ -440,3 +440,28 @@ def without_near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str =
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
+
+
+#: Whole sets, all pairs that share a shingle, and all that links reach.
+ORACLE = r"""
+with recursive worded as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents),
+shingle as (
+  select distinct doc_id, array_to_string(w[s : s + 4], ' ') as g
+  from worded, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as t(s) where len(w) > 0),
+size as (select doc_id, count(*) as n from shingle group by doc_id),
+shared as (
+  select a.doc_id as x, b.doc_id as y, count(*) as n from shingle a join shingle b on a.g = b.g and a.doc_id < b.doc_id
+  group by a.doc_id, b.doc_id),
+pair as (
+  select x, y from shared join size a on a.doc_id = x join size b on b.doc_id = y
+  where 100 * shared.n >= 75 * (a.n + b.n - shared.n)),
+link as (select x, y from pair union all select y, x from pair),
+reach(x, y) as (select x, y from link union select reach.x, link.y from reach join link on reach.y = link.x),
+first as (select x, min(y) as y from reach group by x)
+select d.doc_id, coalesce(n, 0) as n_shingles, least(d.doc_id, first.y) as component_id,
+  d.doc_id = least(d.doc_id, first.y) as kept
+from documents d left join size on size.doc_id = d.doc_id left join first on first.x = d.doc_id
+"""
