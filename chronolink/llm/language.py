@@ -127,6 +127,20 @@ class Model:
                 return tuple([part * sum(x) for x in zip(*found, strict=True)])
         return (0.0,) * len(self.languages)
 
+    def accepts(self, text: str | None) -> bool:
+        """Whether a text has a letter, and a word or n-gram of some language if any was learned.
+
+        The first such words decide, so little of a text is looked at and nothing is remembered.
+        """
+        letter, known = False, not self.languages
+        for words in words_of(text or ""):
+            for word in words:
+                letter = letter or any(c.isalpha() for c in word)
+                known = known or word in self.words or any(g in self.grams for size in GRAMS for g in grams_of(word, size))
+                if letter and known:
+                    return True
+        return False
+
 
 class _Scores(dict):
     """Row of each word in a growing matrix of scores."""
@@ -156,11 +170,6 @@ class _Scores(dict):
             count += len(words)
         return total, count, letter
 
-    def accepts(self, text: str | None) -> bool:
-        """Whether a text has a letter, and a word or n-gram of some language if any was learned."""
-        total, _, letter = self._sums(text)
-        return letter and (not len(total) or bool(total.any()))
-
     def predict(self, text: str | None) -> tuple[str, float]:
         total, count, letter = self._sums(text)
         if not letter or not len(total):
@@ -272,9 +281,9 @@ def accepted(docs: DataFrame, *, text: str = "text") -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def judge(texts: pa.Array) -> pa.Array:
-        scores, sure = _scores(sent), []
+        model, sure = sent.value, []
         for at in range(0, len(texts), 256):
-            sure += [scores.accepts(t) for t in texts.slice(at, 256).to_pylist()]
+            sure += [model.accepts(t) for t in texts.slice(at, 256).to_pylist()]
         return pa.array(sure, pa.bool_())
 
     names = {c: f"_c{n}" for n, c in enumerate(docs.columns)}  # clear of the column that is added

@@ -15,13 +15,15 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def share_workers(spark: SparkSession) -> None:
-    """Let all Python work of the session run in the same workers.
+def spare_memory(spark: SparkSession) -> None:
+    """Keep what Python work takes beside the heap small, for jobs that send whole texts to it.
 
     An executor keeps its workers, some 200 MB each, in a pool per environment. Short tracebacks are a setting that
-    reaches the environment of some kinds of Python work only, which makes two pools and twice the workers.
+    reaches the environment of some kinds of Python work only, which makes two pools. Lots of texts are held by the
+    JVM and by a worker, so they have fewer rows than Spark's default of 10,000.
     """
     spark.conf.set("spark.sql.execution.pyspark.udf.simplifiedTraceback.enabled", "false")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 
 def ascii_lower(text: Column) -> Column:
