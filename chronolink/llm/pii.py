@@ -5,12 +5,15 @@ spelt-out signs, numbers in any grouping. Each candidate is described by its for
 patterns cannot label what they do not find, so boosted trees are fitted on copies of base spans rewritten in forms
 that the patterns miss, against copies that fail (checksum, length, host, place) and numbers of the texts that fail. A
 candidate that neither is a base span nor fails has no label and is not learned from. For each kind the lowest score is
-accepted at which ``PRECISION`` of held-out examples are personal data. The trees become one SQL expression, so scoring is a
+accepted at which ``PRECISION`` of held-out examples are personal data. Examples with the same features are one row that
+weighs as many, so trees and scores come from all examples of all texts. The trees become one SQL expression, so scoring is a
 projection inside the row: no text is moved.
 """
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,8 +24,10 @@ from chronolink.plans.staging import stage
 from .tables import read
 
 KINDS = ("email", "ip", "card", "phone")
-#: Labelled examples that the trees are fitted and calibrated on, half each, at most; half of them personal data.
-SAMPLE = 20_000
+#: All examples of a class together weigh as much as so many, at most: in large corpora both classes weigh the same.
+CLASS_WEIGHT = 10_000
+#: Different examples per partition that the trees are fitted on.
+ROWS = 100_000
 ROUNDS = 8
 DEPTH = 3
 PRECISION = 0.95
@@ -267,24 +272,35 @@ def _tree_sql(node) -> str:
 def fit(docs: DataFrame, *, text: str = "text") -> tuple[str, list[float]]:
     """Boosted trees as SQL for the score of a candidate ``c``, and the least score accepted per kind.
 
-    ``SAMPLE`` examples are taken in the order of a hash, as many of each class. All copies of a span are on one side of
-    the split. Where a sample has examples of one class only there is nothing to learn, and no candidate is accepted.
+    Every example counts: half of them, by a hash, are learned from, the others choose the scores. All copies of a span are
+    on one side of the split. Where there are examples of one class only there is nothing to learn, and no candidate is
+    accepted.
     """
     made = _examples(_base(docs.select(F.col(text).alias("_text")), "_text"), "_text")
     rows = made.select(F.xxhash64("_text").alias("h"), F.explode("_examples").alias("c"))
-    rows = rows.select(F.xxhash64("h", "c.start", "c.end").alias("h"), "c", "c.label")
-    halves = [rows.filter(F.col("label") == k).orderBy("h", "c.kind", "c.f").limit(SAMPLE // 2) for k in (0, 1)]
-    sample = stage(halves[0].union(halves[1]), "pii-sample")
-    learn, check = sample.filter("h % 2 = 0"), sample.filter("h % 2 <> 0")
+    keys = ["kind", "label", "learn", "f"]
+    rows = rows.select("c.kind", "c.label", (F.xxhash64("h", "c.start", "c.end") % 2 == 0).alias("learn"), "c.f")
+    # Sorted, and in few partitions unless there are many rows, so that sums of doubles are the same in each run.
+    examples = stage(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).sortWithinPartitions(*keys), "pii-examples")
+    counted = examples.groupBy(*keys[:3]).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows")).collect()
+    totals = {label: sum(r["n"] for r in counted if r["label"] == label) for label in (0.0, 1.0)}
     never = [2.0] * len(KINDS)
-    classes = learn.groupBy(F.col("c.kind").alias("kind")).agg(F.count_distinct("label").alias("n")).collect()
-    kinds = sorted(r["kind"] for r in classes if r["n"] == 2)
+    learned = {no: [r["rows"] for r in counted if r["kind"] == no and r["learn"]] for no in range(len(KINDS))}
+    kinds = [no for no, classes in learned.items() if len(classes) == 2]
     if not kinds:
         return "0D", never
+    shares = {label: min(n, CLASS_WEIGHT) / n for label, n in totals.items()}
+    weight = F.col("n") * F.when(F.col("label") == 1, shares[1.0]).otherwise(shares[0.0])
+    weighted = examples.withColumn("w", weight).coalesce(max(2, sum(r["rows"] for r in counted) // ROWS))
+    learn, check = weighted.filter("learn"), weighted.filter("not learn")
     scores = []
     for no in kinds:  # trees of their own, as what tells one kind says little about another
-        trees = GBTClassifier(maxIter=ROUNDS, maxDepth=DEPTH, seed=SEED, featuresCol="v", labelCol="label")
-        model = trees.fit(learn.filter(F.col("c.kind") == no).select(array_to_vector("c.f").alias("v"), "label"))
+        # Spark looks for splits in a sample of 10,000 rows or the square of this.
+        bins = max(32, isqrt(sum(learned[no])) + 1)
+        trees = GBTClassifier(
+            maxIter=ROUNDS, maxDepth=DEPTH, maxBins=bins, seed=SEED, featuresCol="v", labelCol="label", weightCol="w"
+        )
+        model = trees.fit(learn.filter(F.col("kind") == no).select(array_to_vector("f").alias("v"), "label", "w"))
         terms = [
             f"{w!r}D * {_tree_sql(t._call_java('rootNode'))}"
             for t, w in zip(model.trees, model.treeWeights, strict=True)
@@ -293,9 +309,9 @@ def fit(docs: DataFrame, *, text: str = "text") -> tuple[str, list[float]]:
     score = f"(case c.kind {' '.join(scores)} else 0D end)"
     # A row for each kind and hundredth of the score.
     bins = (
-        check.select(F.col("c.kind").alias("kind"), F.expr(f"floor(({score}) * 100)").alias("bin"), "label")
-        .groupBy("kind", "bin")
-        .agg(F.sum("label").alias("hits"), F.count(F.lit(1)).alias("n"))
+        check.select(F.struct("kind", "f").alias("c"), "label", "w")
+        .groupBy("c.kind", F.expr(f"floor(({score}) * 100)").alias("bin"))
+        .agg(F.sum(F.col("label") * F.col("w")).alias("hits"), F.sum("w").alias("n"))
         .orderBy("kind", F.desc("bin"))
         .collect()
     )

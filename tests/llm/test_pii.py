@@ -112,6 +112,22 @@ def test_planted_spans_are_found_however_many_there_are(spark, table):
         assert all(got[-k - 101]["spans"] == got[-k - 101]["base"] for k in range(len(NOT_PERSONAL)))
 
 
+def test_all_examples_are_learned_from(spark, monkeypatch):
+    """Past 10,000 of a class, too, every example of a kind is on one of the two sides."""
+    seen = []
+    fit = pii.GBTClassifier.fit
+    monkeypatch.setattr(pii.GBTClassifier, "fit", lambda self, df: seen.append(df.collect()) or fit(self, df))
+    texts = F.concat(F.lit("write to bob"), "id", F.lit("@example.org soon"))
+    docs = spark.range(8000).select(texts.alias("text")).unionByName(spark.range(2).select(F.lit(None).alias("text")))
+    score, least = pii.fit(docs)
+    (rows,) = seen
+    made = {1: 8000 * len(pii.PERSONAL["email"]), 0: 8000 * len(pii.FAILING["email"])}
+    for label, n in made.items():
+        learned = sum(r["w"] for r in rows if r["label"] == label) * n / min(n, pii.CLASS_WEIGHT)
+        assert 0.45 * n < learned < 0.55 * n and learned == pytest.approx(round(learned))
+    assert least[0] <= 1
+
+
 def test_redaction(table, model):
     rows = [
         (1, "mail a@b.co now", 15, "k"), (2, "nothing here", 12, "k"), (3, None, None, "k"), (4, "", 0, "k"),
