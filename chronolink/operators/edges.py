@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..plans.sequence import HOT_ROWS, number_rows_split
 
 EDGE = ["article", "target", "cnt"]
+# Rows of links that one task sorts and gathers into runs, on average; a row takes some 400 to 600 bytes there.
+TASK_ROWS = 500_000
 
 
 def temporal_edges(
@@ -26,7 +28,7 @@ def temporal_edges(
     ``revisions`` is ``(article, rev_id, ts)`` with every revision, also those without links;
     ``links`` is ``(article, rev_id, target, cnt)`` with targets unique per revision.
     """
-    cold, hot, articles = number_rows_split(
+    cold, hot, articles, rows = number_rows_split(
         revisions.select("article", "rev_id", "ts"),
         ["article"],
         ["ts", "rev_id"],
@@ -36,10 +38,10 @@ def temporal_edges(
     )
     keys = ["article", "rev_id"]
     if hot is None:
-        return _runs(links.join(cold, keys), None, include_open)
+        return _runs(links.join(cold, keys), None, include_open, rows)
     cold = links.join(articles, "article", "left_anti").join(cold, keys)
     hot = links.join(articles, "article", "left_semi").join(hot, keys)
-    return _runs(cold, None, include_open).unionByName(_runs(hot, hot_rows, include_open))
+    return _runs(cold, None, include_open, rows).unionByName(_runs(hot, hot_rows, include_open, rows))
 
 
 def temporal_edges_from_arrays(
@@ -49,7 +51,7 @@ def temporal_edges_from_arrays(
 
     The array travels with its revision, so the join of links and revisions falls away.
     """
-    cold, hot, _ = number_rows_split(
+    cold, hot, _, rows = number_rows_split(
         rev_links.select("article", "rev_id", "ts", "links"),
         ["article"],
         ["ts", "rev_id"],
@@ -58,15 +60,17 @@ def temporal_edges_from_arrays(
         weight=1 + F.greatest(F.coalesce(F.size("links"), F.lit(0)), F.lit(0)),
     )
     placed = [F.col("article"), F.col("seq"), F.col("ts"), F.col("next_ts"), F.inline("links")]
-    edges = _runs(cold.select(*placed), None, include_open)
-    return edges if hot is None else edges.unionByName(_runs(hot.select(*placed), hot_rows, include_open))
+    edges = _runs(cold.select(*placed), None, include_open, rows)
+    return edges if hot is None else edges.unionByName(_runs(hot.select(*placed), hot_rows, include_open, rows))
 
 
-def _runs(placed: DataFrame, slice_revs: int | None, include_open: bool) -> DataFrame:
+def _runs(placed: DataFrame, slice_revs: int | None, include_open: bool, rows: int) -> DataFrame:
     """Join consecutive ``seq`` of the same edge into runs.
 
     With ``slice_revs``, for hot articles, a history is cut into slices of that many revisions. Runs are built
     inside each slice; only those that touch a cut, at most two per slice, are joined across slices.
+
+    ``rows`` is about their number. Many rows are dealt so that no task's share grows with the table.
     """
     seq = F.col("seq")
     bounds = [
@@ -80,6 +84,10 @@ def _runs(placed: DataFrame, slice_revs: int | None, include_open: bool) -> Data
     if slice_revs is not None:
         placed = placed.withColumn("_slice", F.floor((seq - 1) / slice_revs))
         within.append("_slice")
+    if rows > TASK_ROWS:
+        # The same exchange that the window asks for, with a number of partitions that Spark does not join again.
+        usual = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        placed = placed.repartition(max(usual, -(-rows // TASK_ROWS)), *within)
     # Consecutive seq and consecutive row numbers differ by a constant.
     island = seq - F.row_number().over(Window.partitionBy(*within).orderBy("seq"))
     runs = placed.withColumn("_island", island).groupBy(*within, "_island").agg(*bounds)

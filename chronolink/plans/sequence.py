@@ -50,7 +50,7 @@ def number_rows_checked(
     """
     if not keys:
         return _number_by_range(df, [], order, dict(lead or {})), True
-    cold, hot, _ = number_rows_split(df, keys, order, lead=lead, hot_rows=hot_rows, weight=weight, also=also)
+    cold, hot, *_ = number_rows_split(df, keys, order, lead=lead, hot_rows=hot_rows, weight=weight, also=also)
     return (cold, False) if hot is None else (cold.unionByName(hot), True)
 
 
@@ -63,25 +63,26 @@ def number_rows_split(
     hot_rows: int = HOT_ROWS,
     weight: Column | None = None,
     also: DataFrame | None = None,
-) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
-    """As ``number_rows_checked``, with the rows of other keys, the rows of hot keys and the hot keys apart.
+) -> tuple[DataFrame, DataFrame | None, DataFrame | None, int]:
+    """As ``number_rows_checked``, with the rows of other keys, the rows of hot keys and the hot keys apart, and all rows
+    that were counted.
 
-    The last two are None where no key is hot, so that what is done for hot keys is done to their rows only.
+    Hot rows and keys are None where no key is hot, so that what is done for hot keys is done to their rows only.
     """
     lead = dict(lead or {})
     counted = df.select(*keys, (F.lit(1) if weight is None else weight).cast("long").alias("_rows"))
     if also is not None:
         counted = counted.unionByName(also.select(*keys, F.lit(1).cast("long").alias("_rows")))
     sizes = counted.groupBy(*keys).agg(F.sum("_rows").alias("_rows"))
-    largest = sizes.agg(F.max("_rows")).first()[0] or 0
+    largest, total = (n or 0 for n in sizes.agg(F.max("_rows"), F.sum("_rows")).first())
     if largest <= hot_rows:
-        return _number_by_window(df, keys, order, lead), None, None
+        return _number_by_window(df, keys, order, lead), None, None, total
 
     # At most (all rows / hot_rows) keys are hot. The table is staged, so Spark knows its size and
     # broadcasts it only below spark.sql.autoBroadcastJoinThreshold.
     hot = stage(sizes.filter(F.col("_rows") > hot_rows).select(*keys), "hot-keys")
     cold_rows = _number_by_window(df.join(hot, list(keys), "left_anti"), keys, order, lead)
-    return cold_rows, _number_by_range(df.join(hot, list(keys), "left_semi"), keys, order, lead), hot
+    return cold_rows, _number_by_range(df.join(hot, list(keys), "left_semi"), keys, order, lead), hot, total
 
 
 def _number_by_window(df, keys, order, lead):

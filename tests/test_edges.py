@@ -30,6 +30,21 @@ def test_same_edges_as_walking_the_history(spark, seed, include_open, hot_rows):
     assert result(temporal_edges_from_arrays(arrays(revisions, links), **options)) == want
 
 
+@pytest.mark.parametrize("hot_rows", HOT)
+def test_tasks_get_bounded_shares_of_the_rows(spark, monkeypatch, hot_rows):
+    """More rows make more tasks, not larger ones, whatever the usual number of partitions."""
+    monkeypatch.setattr("chronolink.operators.edges.TASK_ROWS", 20)
+    histories = random_histories(3)
+    revisions, links = frames(spark, histories)
+    tasks = -(-(revisions.count() + links.count()) // 20)
+    for edges in (
+        temporal_edges(revisions, links, hot_rows=hot_rows),
+        temporal_edges_from_arrays(arrays(revisions, links), hot_rows=hot_rows),
+    ):
+        assert edges.rdd.getNumPartitions() >= tasks > 20
+        assert result(edges) == walk_edges(histories)
+
+
 @pytest.mark.parametrize("hot_rows", HOT)
 @pytest.mark.parametrize(
     ("found", "want"),
