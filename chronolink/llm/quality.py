@@ -1,8 +1,8 @@
 """Quality rules: base rules, and boosted trees over document statistics.
 
 Every text is described once by numbers that are worked out over all of it. The base rules look at two of them. What they
-pass is judged by gradient-boosted trees, fitted here on a bounded sample of labelled documents with histograms and second
-order steps. Features that only speak against a text (symbols, repeated lines and windows, shouting) are constrained: more
+pass is judged by gradient-boosted trees, fitted here on all labelled documents with histograms and second order steps: the
+documents lie in blocks of binned features, tasks sum them up for each level of a tree, and only sums go to the driver. Features that only speak against a text (symbols, repeated lines and windows, shouting) are constrained: more
 of them never raises the score. The trees lie in flat numpy arrays, so a lot of documents goes down all trees at once.
 """
 
@@ -13,14 +13,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from chronolink.plans.sequence import sorted_ranges
+from chronolink.plans.staging import stage
+
 from .tables import read, small
 
-#: Labelled documents that the trees are fitted and calibrated on, at most, half of each class.
-SAMPLE = 20_000
+#: Labelled documents of a block, on average.
+BLOCK = 65_536
 ROUNDS, DEPTH, BINS, RATE, L2 = 60, 4, 64, 0.2, 1.0
 #: Documents that a leaf needs.
 LEAF = 10
@@ -114,8 +117,8 @@ def statistics(text: str | None) -> tuple[list[int], list[float]]:
     return [n, chars, symbols, dup, repeated], features
 
 
-def base_failed(n_words: np.ndarray, n_repeat: np.ndarray) -> np.ndarray:
-    return (n_words < MIN_WORDS) | (100 * n_repeat > MAX_REPEAT * n_words)
+def _base_failed(n_words: str, n_repeat: str) -> Column:
+    return (F.col(n_words) < MIN_WORDS) | (100 * F.col(n_repeat) > MAX_REPEAT * F.col(n_words))
 
 
 @dataclass
@@ -140,23 +143,54 @@ class Trees:
         return 1 / (1 + np.exp(-(self.base + self.value[at].sum(axis=1))))
 
 
-def boost(x: np.ndarray, y: np.ndarray, signs: np.ndarray, *, rounds: int = ROUNDS, depth: int = DEPTH) -> Trees:
-    """Boosted trees for the probability of ``y``, never against ``signs``.
+@dataclass
+class _Tree:
+    """A tree over bins; a leaf is its own child. ``cut`` is the last bin on the left, ``limit`` its upper edge."""
 
-    A split on a constrained feature is taken only if the values of its sides are in order; below it, both sides stay on
-    their side of the middle between them.
-    """
-    edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) for j in range(x.shape[1])]
-    bins = np.stack([np.searchsorted(e, x[:, j], side="left") for j, e in enumerate(edges)], axis=1)
-    nodes: list[list] = []  # feature, limit, left, right, value
-    roots = []
-    share = np.clip(y.mean(), 1e-6, 1 - 1e-6)
-    base = float(np.log(share / (1 - share)))
+    feature: list[int]
+    cut: list[int]
+    limit: list[float]
+    left: list[int]
+    right: list[int]
+    value: list[float]
+
+    def add(self) -> int:
+        at = len(self.value)
+        for column, v in zip(vars(self).values(), (0, 0, np.inf, at, at, 0.0), strict=True):
+            column.append(v)
+        return at
+
+    def nodes(self, bins: np.ndarray, depth: int) -> np.ndarray:
+        """The node that each row is in."""
+        feature, cut, left, right = map(np.array, (self.feature, self.cut, self.left, self.right))
+        at, rows = np.zeros(len(bins), np.int64), np.arange(len(bins))
+        for _ in range(depth):
+            at = np.where(bins[rows, feature[at]] <= cut[at], left[at], right[at])
+        return at
+
+
+def _binned(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
+    return np.stack([np.searchsorted(e, x[:, j], side="left") for j, e in enumerate(edges)], axis=1).astype(np.uint8)
+
+
+def _sums(bins, y, base: float, done: list[_Tree], tree: _Tree, nodes: list[int], depth: int) -> np.ndarray:
+    """For each of the nodes of the tree: sums of gradients and hessians, then those and counts by feature and bin."""
     margin = np.full(len(y), base)
+    for d in done:
+        margin += np.array(d.value)[d.nodes(bins, depth)]
+    p = 1 / (1 + np.exp(-margin))
+    gradient, hessian = p - y, p * (1 - p)
+    at, found = tree.nodes(bins, depth), []
+    for node in nodes:
+        rows = np.flatnonzero(at == node)
+        g, h = gradient[rows], hessian[rows]
+        found += [[g.sum(), h.sum()]]
+        found += [np.bincount(bins[rows, j], w, BINS) for j in range(bins.shape[1]) for w in (g, h, None)]
+    return np.concatenate(found).reshape(len(nodes), -1)
+
 
-    def add() -> int:
-        nodes.append([0, np.inf, len(nodes), len(nodes), 0.0])
-        return len(nodes) - 1
+def _boost(edges: list[np.ndarray], base: float, signs: np.ndarray, sums, rounds: int, depth: int) -> Trees:
+    """Trees grown level by level from ``sums(trees before, tree, nodes)``."""
 
     def weight(g, h, low, high):
         return np.clip(-g / (h + L2), low, high)
@@ -164,78 +198,171 @@ def boost(x: np.ndarray, y: np.ndarray, signs: np.ndarray, *, rounds: int = ROUN
     def gain(g, h, w):
         return -(g * w + 0.5 * (h + L2) * w * w)
 
-    def grow(at: int, rows: np.ndarray, level: int, low: float, high: float) -> None:
-        g, h = gradient[rows], hessian[rows]
-        own = weight(g.sum(), h.sum(), low, high)
-        best = None
-        if level < depth:
-            for j, cuts in enumerate(edges):
-                if not len(cuts):
+    done: list[_Tree] = []
+    for _ in range(rounds):
+        tree = _Tree([], [], [], [], [], [])
+        level = [(tree.add(), -np.inf, np.inf)]
+        for left_levels in range(depth, -1, -1):
+            deeper = []
+            for (at, low, high), found in zip(level, sums(done, tree, [n for n, *_ in level]), strict=True):
+                (g, h), by_bin = found[:2], found[2:].reshape(len(edges), 3, BINS)
+                own = weight(g, h, low, high)
+                best = None
+                for j, cuts in enumerate(edges if left_levels else []):
+                    if not len(cuts):
+                        continue
+                    running = [w[: len(cuts) + 1].cumsum() for w in by_bin[j]]
+                    gl, hl, nl = (s[:-1] for s in running)
+                    gr, hr, nr = (s[-1] - part for s, part in zip(running, (gl, hl, nl), strict=True))
+                    wl, wr = weight(gl, hl, low, high), weight(gr, hr, low, high)
+                    better = gain(gl, hl, wl) + gain(gr, hr, wr) - gain(g, h, own)
+                    fits = (nl >= LEAF) & (nr >= LEAF) & (signs[j] * (wr - wl) >= 0)
+                    better = np.where(fits, better, 0.0)
+                    k = int(better.argmax())
+                    if better[k] > 1e-9 and (best is None or better[k] > best[0]):
+                        best = (better[k], j, k, float(wl[k] + wr[k]) / 2)
+                if best is None:
+                    tree.value[at] = RATE * float(own)
                     continue
-                size = len(cuts) + 1
-                sums = [np.bincount(bins[rows, j], w, size).cumsum() for w in (g, h, None)]
-                gl, hl, nl = (s[:-1] for s in sums)
-                gr, hr, nr = (s[-1] - part for s, part in zip(sums, (gl, hl, nl), strict=True))
-                wl, wr = weight(gl, hl, low, high), weight(gr, hr, low, high)
-                better = gain(gl, hl, wl) + gain(gr, hr, wr) - gain(g.sum(), h.sum(), own)
-                fits = (nl >= LEAF) & (nr >= LEAF) & (signs[j] * (wr - wl) >= 0)
-                better = np.where(fits, better, 0.0)
-                k = int(better.argmax())
-                if better[k] > 1e-9 and (best is None or better[k] > best[0]):
-                    best = (better[k], j, k, float(wl[k] + wr[k]) / 2)
-        if best is None:
-            nodes[at][4] = RATE * float(own)
-            margin[rows] += nodes[at][4]
-            return
-        _, j, k, middle = best
-        left, right = add(), add()
-        nodes[at][:4] = j, edges[j][k], left, right
-        inside = bins[rows, j] <= k
-        bounds = {1: ((low, middle), (middle, high)), -1: ((middle, high), (low, middle)), 0: ((low, high),) * 2}
-        for side, some, (a, b) in zip((left, right), (inside, ~inside), bounds[int(signs[j])], strict=True):
-            grow(side, rows[some], level + 1, a, b)
+                _, j, k, middle = best
+                left, right = tree.add(), tree.add()
+                tree.feature[at], tree.cut[at], tree.limit[at] = j, k, float(edges[j][k])
+                tree.left[at], tree.right[at] = left, right
+                bounds = {1: ((low, middle), (middle, high)), -1: ((middle, high), (low, middle)), 0: ((low, high),) * 2}
+                deeper += [(side, *b) for side, b in zip((left, right), bounds[int(signs[j])], strict=True)]
+            level = deeper
+            if not level:
+                break
+        done.append(tree)
+    starts = np.cumsum([0] + [len(t.value) for t in done])[:-1]
+    flat = [np.concatenate([np.array(getattr(t, c)) for t in done]) for c in ("feature", "limit", "value")]
+    left, right = (np.concatenate([np.array(getattr(t, c)) + s for t, s in zip(done, starts, strict=True)]) for c in ("left", "right"))
+    return Trees(flat[0], flat[1], left, right, flat[2], starts, base)
 
-    for _ in range(rounds):
-        p = 1 / (1 + np.exp(-margin))
-        gradient, hessian = p - y, p * (1 - p)
-        roots.append(add())
-        grow(roots[-1], np.arange(len(y)), 0, -np.inf, np.inf)
-    feature, limit, left, right, value = zip(*nodes, strict=True)
-    return Trees(
-        np.array(feature), np.array(limit), np.array(left), np.array(right), np.array(value), np.array(roots), base
-    )
+
+def _base_margin(share: float) -> float:
+    share = np.clip(share, 1e-6, 1 - 1e-6)
+    return float(np.log(share / (1 - share)))
+
+
+_QUANTILES = np.linspace(0, 1, BINS + 1)[1:-1]
+
+
+def boost(x: np.ndarray, y: np.ndarray, signs: np.ndarray, *, rounds: int = ROUNDS, depth: int = DEPTH) -> Trees:
+    """Boosted trees for the probability of ``y``, never against ``signs``.
+
+    A split on a constrained feature is taken only if the values of its sides are in order; below it, both sides stay on
+    their side of the middle between them.
+    """
+    edges = [np.unique(np.quantile(x[:, j], _QUANTILES)) for j in range(x.shape[1])]
+    bins, base = _binned(x, edges), _base_margin(y.mean())
+    return _boost(edges, base, signs, lambda *made: _sums(bins, y, base, *made, depth), rounds, depth)
+
+
+def quantile_edges(rows: DataFrame, n: int) -> list[np.ndarray]:
+    """For each feature of ``n`` rows with ``features``, the values that ``np.quantile`` gives for the edges of the bins.
+
+    Values are counted and sorted into ranges; a value's first place is what ranges before it have, and it has as many as
+    it is frequent. Only values at the places wanted leave Spark.
+    """
+    at = _QUANTILES * (n - 1)
+    lower = np.floor(at).astype(int)
+    upper = np.minimum(lower + 1, n - 1)
+    values = rows.select(F.posexplode("features").alias("j", "v")).groupBy("j", "v").agg(F.count(F.lit(1)).alias("n"))
+    ranges = sorted_ranges(values, ["j", "v"])
+    before = Window.partitionBy("j").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    parts = ranges.groupBy("j", "_range").agg(F.sum("n").alias("n"))
+    parts = parts.select("j", "_range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("j", "_range").orderBy("_at")
+    placed = ranges.join(parts, ["j", "_range"]).withColumn("upto", F.col("_before") + F.sum("n").over(inside))
+    wanted = F.array(*[F.lit(int(r)) for r in sorted({*lower, *upper})])
+    hit = F.exists(wanted, lambda r: (r < F.col("upto")) & (r >= F.col("upto") - F.col("n")))
+    found = [[] for _ in FEATURES]
+    for r in placed.filter(hit).select("j", "v", "upto").orderBy("j", "upto").collect():
+        found[r["j"]].append((r["upto"], r["v"]))
+    edges = []
+    for ends in found:
+        upto, v = (np.array(c) for c in zip(*ends, strict=True))
+        a, b = (v[np.searchsorted(upto, places, side="right")] for places in (lower, upper))
+        t = at - lower
+        edges.append(np.unique(np.where(t >= 0.5, b - (b - a) * (1 - t), a + (b - a) * t)))
+    return edges
 
 
 _SIGNS = np.array(list(FEATURES.values()))
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Trees | None:
+def _blocks(rows: DataFrame, n: int, edges: list[np.ndarray]) -> DataFrame:
+    """The rows in blocks of binned features, written; ``block`` gives them an order."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bins, ys, first = [], [], None
+        for batch in batches:
+            if len(batch):
+                first = batch["_order"][0].as_py() if first is None else first
+                x = batch["features"].flatten().to_numpy().reshape(len(batch), len(edges))
+                bins.append(_binned(x, edges).tobytes())
+                ys.append(batch["_y"].to_numpy().astype(np.uint8).tobytes())
+        if bins:
+            columns = [pa.array([first], pa.int64()), *[pa.array([b"".join(p)], pa.binary()) for p in (bins, ys)]]
+            yield pa.RecordBatch.from_arrays(columns, ["block", "bins", "y"])
+
+    ranges = rows.repartitionByRange(-(-n // BLOCK), "_order").sortWithinPartitions("_order")
+    binned = ranges.select("features", F.col("_y").cast("int").alias("_y"), "_order").mapInArrow(
+        run, "block long, bins binary, y binary"
+    )
+    return stage(binned, "quality-blocks")
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Trees | None:
     """Trees for ``quality`` of ``labels``, or None if a class has no labelled document that passes the base rules.
 
-    The labelled documents of each class that come first by a hash of their id, ``sample`` / 2 at most, are taken; those with
-    an odd hash choose the threshold, the lowest that keeps ``KEEP_SHARE`` of the good ones, 0.5 at most. A document with
-    different labels counts as bad; nulls are no labels.
+    All labelled documents with ``quality`` 0 or 1 count: those with an odd hash of their id choose the threshold, the lowest
+    that keeps ``KEEP_SHARE`` of the good ones, 0.5 at most; the others are learned from. A document with different labels
+    counts as bad; nulls are no labels.
     """
     order = F.xxhash64(F.lit(SEED), "doc_id")
     known = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("_y"))
-    known = known.withColumn("_order", order)
-    some = [known.filter(F.col("_y") == y).orderBy("_order", "doc_id").limit(sample // 2) for y in (0, 1)]
-    # 2 x sample / 2 rows at most: small enough for every task.
-    chosen = F.broadcast(some[0].unionByName(some[1]))
-    found = describe(docs.join(chosen, "doc_id").select("doc_id", "text"))
-    found = found.groupBy("doc_id").agg(F.min(F.struct(*COUNTS, "features")).alias("s"))
-    rows = found.join(chosen, "doc_id").select("s.*", "_y", "_order").orderBy("_order").collect()
-    x = np.array([r["features"] for r in rows], float).reshape(len(rows), len(FEATURES))
-    y = np.array([r["_y"] for r in rows], float)
-    kept = ~base_failed(np.array([r["n_words"] for r in rows]), np.array([r["n_repeat_words"] for r in rows]))
-    odd = np.array([r["_order"] % 2 == 1 for r in rows], bool)
-    learn, hold = kept & ~odd, kept & odd
-    if len(set(y[learn])) < 2:
+    known = known.filter("_y in (0, 1)").withColumn("_order", order)
+    # Texts are described before they are joined, so that no text is shuffled.
+    found = describe(docs).join(known, "doc_id").groupBy("doc_id", "_y", "_order")
+    found = found.agg(F.min(F.struct(*COUNTS, "features")).alias("s")).filter(~_base_failed("s.n_words", "s.n_repeat_words"))
+    rows = stage(found.select("_y", "_order", "s.features"), "quality-examples")
+    learn, hold = (rows.filter(F.pmod("_order", F.lit(2)) == odd) for odd in (0, 1))
+    sizes = {r["_y"]: r["count"] for r in learn.groupBy("_y").count().collect()}
+    if len(sizes) < 2:
         return None
-    trees = boost(x[learn], y[learn], _SIGNS)
-    good = np.sort(trees.scores(x[hold & (y == 1)]))
-    if len(good):
-        trees.threshold = min(0.5, float(good[int((1 - KEEP_SHARE) * len(good))]))
+    n = sum(sizes.values())
+    edges, base = quantile_edges(learn, n), _base_margin(sizes[1] / n)
+    blocks = _blocks(learn, n, edges)
+
+    def sums(done: list[_Tree], tree: _Tree, nodes: list[int]) -> np.ndarray:
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            first, total = None, 0.0
+            for batch in batches:
+                for block, bins, y in zip(*(batch[c].to_pylist() for c in ("block", "bins", "y")), strict=True):
+                    bins = np.frombuffer(bins, np.uint8).reshape(len(y), len(edges))
+                    total = total + _sums(bins, np.frombuffer(y, np.uint8), base, done, tree, nodes, DEPTH)
+                    first = block if first is None else first
+            if first is not None:
+                columns = [pa.array([first], pa.int64()), pa.array([total.tobytes()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["block", "sums"])
+
+        parts = sorted(blocks.mapInArrow(run, "block long, sums binary").collect(), key=lambda r: r["block"])
+        return sum(np.frombuffer(r["sums"]).reshape(len(nodes), -1) for r in parts)
+
+    trees = _boost(edges, base, _SIGNS, sums, ROUNDS, DEPTH)
+
+    def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                x = batch["features"].flatten().to_numpy().reshape(len(batch), len(edges))
+                yield pa.RecordBatch.from_arrays([pa.array(trees.scores(x))], ["score"])
+
+    good = hold.filter("_y = 1")
+    if n_good := good.count():
+        scored = good.select("features").mapInArrow(score, "score double").orderBy("score")
+        trees.threshold = min(0.5, scored.offset(int((1 - KEEP_SHARE) * n_good)).first()["score"])
     return trees
 
 
@@ -270,7 +397,7 @@ def describe(docs: DataFrame, trees: Trees | None = None) -> DataFrame:
 
 def judge(docs: DataFrame, trees: Trees | None) -> DataFrame:
     """``describe`` with ``base_failed`` and ``kept``: the base rules passed, and the score at least the threshold."""
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words"))
+    failed = _base_failed("n_words", "n_repeat_words")
     threshold = 0.0 if trees is None else trees.threshold
     return describe(docs, trees).withColumn("base_failed", failed).withColumn(
         "kept", ~F.col("base_failed") & (F.col("score") >= threshold)

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from chronolink.llm import quality
 
@@ -69,6 +70,33 @@ def test_flat_trees_equal_a_walk():
     assert np.allclose(trees.scores(x), by_hand, atol=1e-12)
 
 
+def test_edges_are_exact_quantiles(spark, table):
+    rng = np.random.default_rng(5)
+    x = np.round(rng.random((700, len(quality.FEATURES))) ** 3, 2)
+    x[:, 1], x[:, 2] = rng.random(700), 0.25
+    edges = quality.quantile_edges(table([(row.tolist(),) for row in x], "features array<double>"), len(x))
+    expected = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, quality.BINS + 1)[1:-1])) for j in range(x.shape[1])]
+    assert all(np.array_equal(a, b) for a, b in zip(edges, expected, strict=True))
+
+
+def test_all_labelled_documents_are_learned_from(spark, monkeypatch):
+    """Every labelled document is in a block, past 20,000 too, and blocks give the trees of the whole."""
+    n, per = 24_000, " ".join(f"w{k}" for k in range(60))
+    shouts = F.when(F.col("id") % 3 == 0, " # ! X").otherwise("")
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit(per), shouts, F.lit(" "), "id").alias("text"))
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), (F.col("id") % 3 != 0).cast("int").alias("quality"))
+    seen, blocks = [], quality._blocks
+    monkeypatch.setattr(quality, "_blocks", lambda *a: seen.append(blocks(*a)) or seen[-1])
+    monkeypatch.setattr(quality, "BLOCK", 2000)
+    monkeypatch.setattr(quality, "ROUNDS", 5)
+    trees = quality.fit(docs, labels)
+    got = seen[0].collect()
+    odd = labels.filter(F.pmod(F.xxhash64(F.lit(quality.SEED), "doc_id"), F.lit(2)) == 1).count()
+    assert len(got) > 3 and sum(len(r["y"]) for r in got) == n - odd > 10_000
+    x = np.array([quality.statistics(r["text"])[1] for r in docs.limit(300).collect()])
+    assert ((trees.scores(x) > 0.5) == (x[:, 2] == 0)).all()
+
+
 def test_odd_rows(table, spark):
     long = " ".join(f"w{n}" for n in range(1_000_000)) + "."
     texts = [None, "", " \n", "one two", long, "a b c " * 100, "a b c " * 100]
