@@ -5,11 +5,13 @@ from pathlib import Path
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from test_native import brute as contaminated
 from test_pii import brute as spans_of
 from test_setsketch import brute as groups
 
 import corpus_pipeline
+from chronolink.llm import pii
 from chronolink.llm.queries import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -100,3 +102,18 @@ def test_run_frees_what_its_stages_staged(spark, monkeypatch, tmp_path):
     # The last stage is still to be read.
     assert results <= names and not names & {"language-words", "scanned", "test-windows", "edges", "picks"}
     assert result.count() > 100
+
+
+def test_redaction_learns_from_all_documents(spark, monkeypatch):
+    """The stage's trees are given every example, past 10,000 of a class too."""
+    seen = []
+    fit = pii.GBTClassifier.fit
+    monkeypatch.setattr(pii.GBTClassifier, "fit", lambda self, df: seen.append(df.collect()) or fit(self, df))
+    texts = F.concat(F.lit("call +1 741 555 "), F.format_string("%04d", F.col("id")), F.lit(" or ask"))
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), texts.alias("text"))
+    out = corpus_pipeline.redact_personal_data(spark, docs, "").collect()
+    assert {r["text"] for r in out} == {"call [PHONE] or ask"} and len(out) == 6000
+    (rows,) = seen
+    n = 6000 * len(pii.PERSONAL["phone"])
+    learned = sum(r["w"] for r in rows if r["label"] == 1) * n / pii.CLASS_WEIGHT
+    assert 0.45 * n < learned < 0.55 * n and learned > 20_000
