@@ -23,7 +23,7 @@ from chronolink.plans.staging import stage
 from .tables import read, small
 
 #: Labelled documents of a block, on average.
-BLOCK = 65_536
+BLOCK = 8_192
 ROUNDS, DEPTH, BINS, RATE, L2 = 60, 4, 64, 0.2, 1.0
 #: Documents that a leaf needs.
 LEAF = 10
