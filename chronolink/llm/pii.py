@@ -227,7 +227,7 @@ def _examples(df: DataFrame, text: str) -> DataFrame:
     """
     df = _candidates(df, text, _FAILS)
     digits = _DIGITS.format("s.hit")
-    digit = f"int(substring({digits}, -1, 1))"
+    digit = f"try_cast(substring({digits}, -1, 1) as int)"  # an address may have none
     span = (
         f"named_struct('kind', s.kind, 'start', s.start, 'end', s.end, 'digits', {digits}, "
         f"'local', substring_index(s.hit, '@', 1), 'host', substring_index(s.hit, '@', -1), "

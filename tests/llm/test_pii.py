@@ -128,6 +128,20 @@ def test_all_examples_are_learned_from(spark, monkeypatch):
     assert least[0] <= 1
 
 
+def test_splits_are_looked_for_in_all_examples(spark, monkeypatch):
+    """Past 10,000 different examples, too, the trees are the same whatever the seed: Spark draws no sample of them."""
+    seen = []
+    fit = pii.GBTClassifier.fit
+    monkeypatch.setattr(pii.GBTClassifier, "fit", lambda self, df: seen.append(df.count()) or fit(self, df))
+    name = "concat(repeat('b', int(id % 40) + 1), repeat('-', int(id / 40) % 8), repeat('7', int(id / 320) % 12), repeat('.c', int(id / 3840)))"
+    docs = spark.range(12000).select(F.expr(f"concat('write to ', {name}, '@example.org soon')").alias("text"))
+    models = []
+    for seed in (7, 8):
+        monkeypatch.setattr(pii, "SEED", seed)
+        models.append(pii.fit(docs))
+    assert models[0] == models[1] and min(seen) > 10_000
+
+
 def test_redaction(table, model):
     rows = [
         (1, "mail a@b.co now", 15, "k"), (2, "nothing here", 12, "k"), (3, None, None, "k"), (4, "", 0, "k"),
